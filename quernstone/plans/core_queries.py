@@ -97,3 +97,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 def p3_flags(spark: SparkSession, d: str) -> DataFrame:
     """How many values each field has and how many needed a second reading."""
     return p3_values(spark, d).groupBy("field").agg(F.count("*").alias("n_values"), F.count("flag").alias("n_flagged"))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_paths": p1_paths,
+    "p1_descendants": p1_descendants,
+    "p2_found": p2_found,
+    "p2_report": p2_report,
+    "p3_found": p3_found,
+    "p3_flags": p3_flags,
+}
