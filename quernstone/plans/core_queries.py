@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from quernstone.functions.keys import key
 from quernstone.operators.hierarchy import descendants, hierarchy
 from quernstone.operators.packed import unpack
+from quernstone.operators import units as un
 from quernstone.operators.references import orphans, report
+from quernstone.session import cut
 
 SEP = "\x1f"
 
@@ -99,6 +101,35 @@ def p3_flags(spark: SparkSession, d: str) -> DataFrame:
     return p3_values(spark, d).groupBy("field").agg(F.count("*").alias("n_values"), F.count("flag").alias("n_flagged"))
 
 
+def p4_parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(amounts, pairs, vocabulary, unit table)."""
+    units = table(spark, d, "units")
+    codes = [r[0] for r in un.fixed(units)[["unit_code"]].itertuples(index=False)]
+    ex = table(spark, d, "exchanges").select("rec_id", "flow", "flow_name", "amount", "unit").where("amount is not null")
+    amounts = ex.select(
+        F.lit("exchanges").alias("tab"), "rec_id", key(F.col("flow")).alias("entity"), "amount", "unit",
+        F.coalesce(un.said(F.col("unit")), un.in_name(F.col("flow_name"))).alias("spelling"),
+    )
+    pairs = table(spark, d, "crosswalk").select(
+        F.lit("crosswalk").alias("tab"), "rec_id", un.said(F.col("source_unit")).alias("a"), un.said(F.col("target_unit")).alias("b"), F.col("unit_conversion").alias("factor")
+    )
+    entity = un.links_by_entity(amounts, codes)
+    links = cut(entity.unionByName(un.links_by_factor(pairs)))
+    spellings = amounts.select("spelling").distinct().unionByName(pairs.select(F.explode(F.array("a", "b")).alias("spelling")).distinct())
+    return amounts, pairs, un.vocabulary(spellings, links, units), units
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    amounts, pairs, vocab, units = p4_parts(spark, d)
+    rows = un.common_amounts(amounts, vocab, units).unionByName(un.wrong_factors(pairs, vocab, units))
+    return un.scientific(rows, "value", "tab string, rec_id bigint, unit string, value string")
+
+
+def p4_units(spark: SparkSession, d: str) -> DataFrame:
+    """What every spelling of a unit was taken for, and on what ground."""
+    return p4_parts(spark, d)[2]
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_paths": p1_paths,
@@ -107,4 +138,6 @@ QUERIES = {
     "p2_report": p2_report,
     "p3_found": p3_found,
     "p3_flags": p3_flags,
+    "p4_found": p4_found,
+    "p4_units": p4_units,
 }
