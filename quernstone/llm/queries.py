@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import linkage, mojibake
+from quernstone.llm import abuse, linkage, mojibake
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -28,4 +28,16 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_matches(spark, d).select("rec_id", "target_id")
 
 
-QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches}
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.scored(table(spark, d, "documents"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_scores(spark, d).where(F.col("score") >= abuse.THRESHOLD).select("doc_id")
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(p9_scores(spark, d))
+
+
+QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
