@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import abuse, linkage, mojibake
+from quernstone.llm import abuse, linkage, mixing, mojibake, packing, tokens
+from quernstone.session import cut
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -28,6 +29,38 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_matches(spark, d).select("rec_id", "target_id")
 
 
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    same = F.xxhash64(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " ")))  # copies: the same words
+    sized = cut(tokens.counted(docs.withColumn("cluster", same), ["doc_id", "lang", "source", "cluster"]))
+    return packing.containers(sized, table(spark, d, "pack_specs"))
+
+
+def p7_fills(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fills(p7_containers(spark, d))
+
+
+def p7_summary(spark: SparkSession, d: str) -> DataFrame:
+    return packing.summary(p7_containers(spark, d))
+
+
+def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
+    sized = tokens.counted(table(spark, d, "documents"), ["doc_id", "source", "lang"])
+    return mixing.mixed(sized, table(spark, d, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(cut(p8_mixed(spark, d)), table(spark, d, "mix_targets"))
+
+
+def p8_shares_full(spark: SparkSession, d: str) -> DataFrame:
+    """The same for mixes of as many tokens as there are in all documents: small sources run short."""
+    sized = cut(tokens.counted(table(spark, d, "documents"), ["doc_id", "source", "lang"]))
+    n = sized.agg(F.sum("n_tokens")).first()[0] or 0
+    targets = table(spark, d, "mix_targets")
+    return mixing.shares(cut(mixing.mixed(sized, targets, total_tokens=n)), targets)
+
+
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
     return abuse.scored(table(spark, d, "documents"))
 
@@ -40,4 +73,4 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(p9_scores(spark, d))
 
 
-QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
+QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p7_containers": p7_containers, "p7_fills": p7_fills, "p7_summary": p7_summary, "p8_mixed": p8_mixed, "p8_shares": p8_shares, "p8_shares_full": p8_shares_full, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
