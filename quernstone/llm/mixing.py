@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quernstone.errors import TransformError
 from quernstone.session import cut
 
-FILLERS = 2  #: documents that fill up the rest of a leaf's budget
+ROUNDS = 4  #: a prefix ends before a document too large for it; the rest is filled the same way from the documents that fit
 LEAVES = 100_000  #: (mix, source, language) triples the driver plans for; more are refused
 
 
@@ -111,32 +111,32 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     laid = rows.join(plans, ["source", "lang"]).where("whole > 0 or rest > 0").withColumn("h", order)
     # equal parts of the order's range, as many as the leaf needs
     laid = laid.withColumn("bucket", F.least(F.floor((F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))) * F.col("buckets")).cast("int"), F.col("buckets") - 1))
-    laid = cut(laid)
     leaf = ["mix_id", "source", "lang"]
-    parts = laid.groupBy(*leaf, "bucket").agg(F.sum("n_tokens").alias("part"))
-    # buckets are merged in groups of 1024 first, so that this window is over few rows, too
-    group = (F.col("bucket") / 1024).cast("int")
-    upper = parts.groupBy(*leaf, group.alias("g")).agg(F.sum("part").alias("gpart"))
-    upper = upper.select(*leaf, "g", (F.sum("gpart").over(Window.partitionBy(*leaf).orderBy("g")) - F.col("gpart")).alias("gbefore"))
-    inner = parts.withColumn("g", group).withColumn("before", F.sum("part").over(Window.partitionBy(*leaf, "g").orderBy("bucket")) - F.col("part"))
-    starts = inner.join(upper, [*leaf, "g"]).select(*leaf, "bucket", (F.col("before") + F.col("gbefore")).alias("start"), "part")
-    joined = laid.join(starts, [*leaf, "bucket"])
-    # only the bucket in which the prefix ends needs the order of its documents
-    edge = joined.where("start < rest and start + part > rest")
-    w = Window.partitionBy(*leaf, "bucket").orderBy("h", "doc_id")
-    edge = edge.withColumn("before", F.col("start") + F.sum("n_tokens").over(w) - F.col("n_tokens")).withColumn("more", (F.col("before") + F.col("n_tokens") <= F.col("rest")).cast("int"))
-    sure = joined.where("not (start < rest and start + part > rest)").withColumn("more", (F.col("start") + F.col("part") <= F.col("rest")).cast("int"))
-    cols = [*leaf, "doc_id", "n_tokens", "whole", "more", "rest", "open", "h"]
-    out = cut(sure.select(*cols).unionByName(edge.select(*cols)))
-    for _ in range(FILLERS):
+    out = cut(laid.withColumn("more", F.lit(0)))
+    for _ in range(ROUNDS):
         gaps = out.groupBy(*leaf).agg((F.first("rest") - F.sum(F.col("more") * F.col("n_tokens"))).alias("gap"))
-        free = out.where("more = 0 and open = 1").join(F.broadcast(gaps), leaf).where("n_tokens <= gap")
-        best = free.groupBy(*leaf).agg(F.max_by("doc_id", F.struct("n_tokens", "h", "doc_id")).alias("f_doc"))
-        out = out.join(F.broadcast(best), leaf, "left").withColumn("more", F.when(F.col("doc_id") == F.col("f_doc"), 1).otherwise(F.col("more"))).drop("f_doc")  # one row a leaf
+        free = out.where("more = 0 and open = 1").join(F.broadcast(gaps), leaf).where("n_tokens <= gap")  # one row a leaf
+        chosen = cut(_prefix(free, leaf))
+        out = cut(out.join(chosen.select(*leaf, "doc_id", F.lit(1).alias("now")), [*leaf, "doc_id"], "left").withColumn("more", F.coalesce("now", "more")).drop("now"))
     out = out.withColumn("n_used", F.col("whole") + F.col("more"))
     return out.where("n_used > 0").select("mix_id", "doc_id", "source", "lang", "n_tokens", "n_used")
 
 
+def _prefix(rows: DataFrame, leaf: list[str]) -> DataFrame:
+    """The longest prefix of every leaf's order that its gap holds: prefix sums over buckets, and within the bucket where it ends."""
+    parts = rows.groupBy(*leaf, "bucket").agg(F.sum("n_tokens").alias("part"), F.first("gap").alias("gap"))
+    # buckets are summed up in groups of 1024 first, so that no window is long
+    inner = parts.withColumn("g", (F.col("bucket") / 1024).cast("int")).withColumn("before", F.sum("part").over(Window.partitionBy(*leaf, "g").orderBy("bucket")) - F.col("part"))
+    upper = inner.groupBy(*leaf, "g").agg(F.sum("part").alias("gpart"))
+    upper = upper.select(*leaf, "g", (F.sum("gpart").over(Window.partitionBy(*leaf).orderBy("g")) - F.col("gpart")).alias("gbefore"))
+    starts = inner.join(upper, [*leaf, "g"]).withColumn("start", F.col("before") + F.col("gbefore")).where("start < gap").select(*leaf, "bucket", "start", "part")
+    joined = rows.join(starts, [*leaf, "bucket"])
+    sure = joined.where("start + part <= gap").select(*leaf, "doc_id")
+    ends = joined.where("start + part > gap")
+    upto = F.sum("n_tokens").over(Window.partitionBy(*leaf, "bucket").orderBy("h", "doc_id"))
+    return sure.unionByName(ends.withColumn("upto", F.col("start") + upto).where("upto <= gap").select(*leaf, "doc_id"))
+
+
 def shares(selection: DataFrame, targets: DataFrame) -> DataFrame:
     """(mix_id, source, target_share, actual_share, tokens, n_docs, most_used, max_repeats) of every target."""
     got = selection.groupBy("mix_id", "source").agg(F.sum(F.col("n_tokens") * F.col("n_used")).alias("tokens"), F.count("*").alias("n_docs"), F.max("n_used").alias("most_used"))

@@ -29,11 +29,14 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_matches(spark, d).select("rec_id", "target_id")
 
 
-def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+def p7_sized(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text")
     same = F.xxhash64(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " ")))  # copies: the same words
-    sized = cut(tokens.counted(docs.withColumn("cluster", same), ["doc_id", "lang", "source", "cluster"]))
-    return packing.containers(sized, table(spark, d, "pack_specs"))
+    return cut(tokens.counted(docs.withColumn("cluster", same), ["doc_id", "lang", "source", "cluster"]))
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.containers(p7_sized(spark, d), table(spark, d, "pack_specs"))
 
 
 def p7_fills(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +44,8 @@ def p7_fills(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_summary(spark: SparkSession, d: str) -> DataFrame:
-    return packing.summary(p7_containers(spark, d))
+    sized = p7_sized(spark, d)
+    return packing.summary(packing.containers(sized, table(spark, d, "pack_specs")), sized)
 
 
 def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
