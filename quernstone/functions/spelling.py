@@ -67,12 +67,12 @@ _TEN_UP = re.compile(r"10(?P<e>[⁰¹²³⁴⁵⁶⁷⁸⁹⁻]+)\s*(?P<rest>.+)
 CODECS = ["cp1252", "latin-1", "cp1250", "cp437", "cp850", "mac_roman", "cp1251"]
 
 
-def repair(text: str) -> str:
+def repair(text: str, codecs: Iterable[str] = tuple(CODECS)) -> str:
     """Up to three readings of wrongly decoded text as the UTF-8 it was."""
     for _ in range(3):
         if text.isascii():
             return text
-        for codec in CODECS:
+        for codec in codecs:
             try:
                 better = text.encode(codec).decode("utf-8")
                 break
