@@ -10,7 +10,7 @@ from quernstone.functions.keys import stripped
 from quernstone.functions.uncertainty import uncertainty
 
 
-def crosswalk_entries(df: DataFrame, target_db: str = "ef", notes: dict[str, str] | None = None, namespace: str = ids.FLOW_NAMESPACE) -> DataFrame:
+def crosswalk_entries(df: DataFrame, target_db: str = "ef", notes: dict[str, str] | None = None, namespace: str = ids.FLOW_NAMESPACE, keep: list[str] | None = None) -> DataFrame:
     """Mapping entries (source, target, conversion_factor, comment) of linked rows.
 
     Rows need a name, a target code and the wanted target database. Texts that stand for a missing
@@ -24,10 +24,10 @@ def crosswalk_entries(df: DataFrame, target_db: str = "ef", notes: dict[str, str
     target = F.struct(some("target_name").alias("name"), t["target_code"].alias("code"), some("target_unit").alias("unit"), F.when(F.size("target_categories") > 0, cleaned).alias("context"))
     note = routing.lookup(notes, text.denulled(F.col("tier"))) if notes else F.lit(None).cast("string")
     rows = df.where((t["source_name"] != "") & (t["target_code"] != "") & (F.col("target_db") == target_db))
-    return rows.select(source.alias("source"), target.alias("target"), routing.real_factor(F.col("unit_conversion")).alias("conversion_factor"), note.alias("comment"))
+    return rows.select(*(keep or []), source.alias("source"), target.alias("target"), routing.real_factor(F.col("unit_conversion")).alias("conversion_factor"), note.alias("comment"))
 
 
-def curated_entries(df: DataFrame, allowed: list[str], barred_part: str, dropped: list[str]) -> DataFrame:
+def curated_entries(df: DataFrame, allowed: list[str], barred_part: str, dropped: list[str], keep: list[str] | None = None) -> DataFrame:
     """Mapping entries of a curated crosswalk that may be passed on; names are required, ``nan`` texts stay as delivered."""
     rows = df.where(routing.shippable(F.col("target_db"), F.col("provenance"), allowed, barred_part, dropped) & text.nonblank(F.col("source_name")) & text.nonblank(F.col("target_name")))
     some = lambda c: text.blank_to_null(F.col(c))
@@ -36,7 +36,7 @@ def curated_entries(df: DataFrame, allowed: list[str], barred_part: str, dropped
     source = F.struct(stripped(F.col("source_name")).alias("name"), some("source_unit").alias("unit"), F.when(F.size(context) > 0, context).alias("context"), full("source_cas").alias("cas_number"))
     target = F.struct(stripped(F.col("target_name")).alias("name"), some("target_unit").alias("unit"), full("target_code").alias("code"))
     comment = F.format_string("%s (priority tier %s)", F.coalesce("provenance", F.lit("")), F.coalesce(F.col("priority_tier").cast("string"), F.lit("None")))
-    return rows.select(source.alias("source"), target.alias("target"), routing.real_factor(F.col("unit_conversion")).alias("conversion_factor"), comment.alias("comment"))
+    return rows.select(*(keep or []), source.alias("source"), target.alias("target"), routing.real_factor(F.col("unit_conversion")).alias("conversion_factor"), comment.alias("comment"))
 
 
 def exchange_rows(datasets: DataFrame, index: DataFrame, namespace: str = ids.FLOW_NAMESPACE) -> DataFrame:

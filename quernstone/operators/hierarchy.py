@@ -80,7 +80,9 @@ def _local(rows: pd.DataFrame, paths: bool) -> pd.DataFrame:
     ends = rows.iloc[last].reset_index(drop=True)
     leaves = ends["parent"].notna().to_numpy()  # its parent is in another partition
     out = pd.DataFrame({"node": rows["node"], "parent": rows["parent"], "label": rows["label"]})
-    out["kind"] = np.where(on, CYCLE, np.where(endless, TO_CYCLE, np.where(leaves, EXIT, ends["term_kind"])))
+    # what ends in a node known to be cyclic only leads into its cycle
+    led = (last != np.arange(len(rows))) & ends["term_kind"].isin([CYCLE, TO_CYCLE]).to_numpy()
+    out["kind"] = np.where(on, CYCLE, np.where(endless | led, TO_CYCLE, np.where(leaves, EXIT, ends["term_kind"])))
     out["to"] = np.where(endless, CYCLE_ROOT, np.where(leaves, ends["parent"], ends["term_root"]))
     # steps of the last node lead on to its own parent or to its terminal
     out["steps"] = np.where(endless, 0, total + ends["steps"].to_numpy(np.int64))

@@ -1,4 +1,4 @@
-"""Column kinds of free-form rows, over all rows."""
+"""Column kinds of free-form rows, over all rows: the strongest kind that a column shows."""
 
 from __future__ import annotations
 
@@ -27,3 +27,21 @@ def json_kinds(df: DataFrame, column: str, order: str) -> DataFrame:
 def schema(kinds: DataFrame) -> T.StructType:
     """A schema in order of first sight; keys are few by nature."""
     return T.StructType([T.StructField(r["name"], TYPES[r["kind"]]) for r in kinds.orderBy("first_seen", "name").collect()])
+
+
+def _kind(v: object) -> str:
+    if v is None:
+        return "null"
+    if isinstance(v, bool):
+        return "boolean"
+    return {list: "list", tuple: "list", float: "double", int: "bigint"}.get(type(v), "string")
+
+
+def record_schema(records: list[dict]) -> T.StructType:
+    """A schema for the rows of a small document, columns in order of first sight."""
+    best: dict[str, str] = {}
+    for r in records:
+        for k, v in r.items():
+            kind = _kind(v)
+            best[k] = max(best.get(k, "null"), kind, key=RANK.__getitem__)
+    return T.StructType([T.StructField(k, TYPES[v]) for k, v in best.items()])

@@ -125,6 +125,8 @@ def orphans(references: DataFrame, parents: DataFrame, target: int = 200_000) ->
     hashed = lambda k: F.xxhash64(F.col("to"), k)
     fine = F.shiftrightunsigned(F.col("h"), 64 - FINE_BITS).cast("int")
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    references = references.select("tab", "rec_id", "field", "to", "ref", "loaded_at")
+    parents = parents.select("to", "key", "rec_id", "loaded_at", "deleted_at")
     refs = references.withColumn("key", key(F.col("ref"))).where("key is not null").withColumn("h", hashed(F.col("key"))).withColumn("fine", fine)
     olds = parents.withColumn("key", key(F.col("key"))).where("key is not null").withColumn("h", hashed(F.col("key"))).withColumn("fine", fine)
 
