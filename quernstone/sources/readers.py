@@ -50,7 +50,7 @@ def csv(spark: SparkSession, path: str) -> DataFrame:
 
 def _document(spark: SparkSession, records: list[dict]) -> DataFrame:
     """Rows of a small document; columns in order of first sight, mixed kinds become strings."""
-    schema = infer.record_schema(records).add("ord", "bigint")
+    schema = infer.record_schema(records).add("ord", T.LongType())
     rows = [tuple(_fit(r.get(f.name), f.dataType) for f in schema.fields[:-1]) + (i,) for i, r in enumerate(records)]
     return spark.createDataFrame(rows, schema)
 

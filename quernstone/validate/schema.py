@@ -59,6 +59,14 @@ def struct(schema: dict, cls: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.ArrayType(T.StringType()) if d.get("multivalued") else T.StringType()) for n, d in slots(schema, cls).items()])
 
 
+def _outside(allowed: list[str]) -> Callable:
+    return lambda x: ~x.isin(allowed)
+
+
+def _known(bad: Callable) -> Callable:
+    return lambda x: F.coalesce(bad(x), F.lit(False))
+
+
 def problems(df: DataFrame, schema: dict, cls: str, order: str = "ord") -> DataFrame:
     """(row, problem) of every violation; row is ``order`` or null without that column."""
     rules, found = slots(schema, cls), []
@@ -80,11 +88,11 @@ def problems(df: DataFrame, schema: dict, cls: str, order: str = "ord") -> DataF
         allowed = list((schema["enums"].get(d.get("range")) or {}).get("permissible_values") or [])
         bad: Callable | None = None
         if allowed:
-            bad = lambda x, a=allowed: ~x.isin(a)
+            bad = _outside(allowed)
         elif d.get("range") in ("uriorcurie", "uri"):
             bad = lambda x: ~x.rlike(r"^[A-Za-z][\w+.-]*:\S*$")
         if bad is not None:
-            hit = F.exists(c, lambda x, b=bad: F.coalesce(b(x), F.lit(False))) if many else bad(c)
+            hit = F.exists(c, _known(bad)) if many else bad(c)
             found.append(F.when(hit, F.concat(F.lit(f"slot {n!r} has the value "), F.to_json(F.struct(c)) if many else c)))
     ids = [n for n, d in rules.items() if d.get("identifier") and n in df.columns]
     row = F.col(order) if order in df.columns else F.lit(None).cast("bigint")
