@@ -32,7 +32,7 @@ BROADCAST_ROWS = 50_000  #: a vocabulary of more spellings is joined by shuffle
 
 #: Unit texts that say nothing.
 SAYS_NOTHING = ["", "nan", "none", "<na>", "n/a", "na", "n.a.", "null", "unknown"]
-_IN_NAME = r"(?:\[([^\[\]]{1,40})\]|\(([^()]{1,40})\)|(?:,\s+in|,\s+per|;\s*unit:|\samount in)\s+([^,;\[\]()]{1,40}))\s*$"
+_IN_NAME = r"(?:\[([^\[\]]{1,40})\]|\(((?:[^()]|\([^()]*\)){1,40})\)|(?:,\s+in|,\s+per|;\s*unit:|\samount in)\s+((?:[^,;\[\]()]|\([^()]*\)){1,40}))\s*$"
 
 
 def said(unit: Column) -> Column:

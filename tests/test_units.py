@@ -58,9 +58,9 @@ def test_amounts_and_factors(spark, units):
 
 
 def test_units_in_names(spark):
-    names = ["A, in kg", "A [m3]", "A (kWh)", "A, per 10^3 kg", "A; unit: t", "A – amount in MJ", "Ore, 36 % in rock", "A", None]
+    names = ["A, in kg", "A [m3]", "A (kWh)", "A, per 10^3 kg", "A; unit: t", "A – amount in MJ", "Ore, 36 % in rock", "A", None, "A (Item(s))", "A; unit: Item(s)", "A [Item(s)]"]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").select("i", un.in_name(F.col("n")).alias("u"))
-    assert [r.u for r in df.orderBy("i").collect()] == ["kg", "m3", "kWh", "10^3 kg", "t", "MJ", None, None, None]
+    assert [r.u for r in df.orderBy("i").collect()] == ["kg", "m3", "kWh", "10^3 kg", "t", "MJ", None, None, None, *["Item(s)"] * 3]
 
 
 def test_empty_tables(spark, units):
