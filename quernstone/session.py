@@ -89,3 +89,13 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     spark.sparkContext.addPyFile(path)
     _shipped.add(app)
+
+
+def spread(df: DataFrame, rows_per_task: int, least: int | None = None) -> DataFrame:
+    """A written ``df`` over as many tasks as its rows need, and at least the cluster's cores.
+
+    For Python stages whose input is few bytes but much work: an explicit number keeps AQE from
+    merging the partitions again.
+    """
+    cores = least or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // rows_per_task)))
