@@ -1,4 +1,4 @@
-"""Command line: list, validate and run sources."""
+"""Command line: list, validate and run sources, run a family on one parse, audit what was staged."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pathlib import Path
 
 from quernstone.errors import EngineError
 from quernstone.model import RunContext
-from quernstone.plans import pipeline, registry
+from quernstone.plans import audit, pipeline, registry
 from quernstone.session import session, ship
 
 
@@ -20,21 +20,26 @@ def _context(a: argparse.Namespace) -> RunContext:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="quernstone")
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("list", "validate", "run"):
+    for name in ("list", "validate", "run", "family", "audit"):
         c = sub.add_parser(name)
         c.add_argument("--registry", help="YAML file of sources beside the built-in ones")
         if name == "list":
             continue
-        c.add_argument("source", nargs="?" if name == "run" else None)
+        if name == "audit":
+            c.add_argument("--output-dir", default="out")
+            c.add_argument("--expected", type=int)
+            continue
+        c.add_argument("prefix" if name == "family" else "source", nargs="?" if name == "run" else None)
         c.add_argument("--cache-dir", default=".cache")
         c.add_argument("--output-dir", default="out")
         c.add_argument("--offline", action="store_true")
         c.add_argument("--schema-dir")
         c.add_argument("--existing", help="checkout of the published collections")
+        if name in ("run", "family"):
+            c.add_argument("--deliver-local", metavar="PATH")
         if name == "run":
             c.add_argument("--all", action="store_true")
             c.add_argument("--deliver", action="store_true")
-            c.add_argument("--deliver-local", metavar="PATH")
     return p
 
 
@@ -51,6 +56,15 @@ def main(argv: list[str] | None = None) -> int:
         if a.command == "validate":
             print(f"{a.source}: {pipeline.validate(spark, registry.get(a.source, configs), _context(a))} rows valid")
             return 0
+        if a.command == "audit":
+            rows = audit.audit(spark, Path(a.output_dir), a.expected).collect()
+            for r in rows:
+                print(f"{'PASS' if r['ok'] else 'FAIL'} {r['check']} {r['detail'] or ''}".rstrip())
+            return 0 if all(r["ok"] for r in rows) else 1
+        if a.command == "family":
+            for path in pipeline.run_family(spark, [c for c in configs if c.name.startswith(a.prefix)], _context(a)):
+                print(f"wrote {path}")
+            return 0
         if not a.all and not a.source:
             raise EngineError("run needs a source or --all")
         for c in [c for c in configs if c.enabled] if a.all else [registry.get(a.source, configs)]:

@@ -305,3 +305,25 @@ def test_family_shares_one_parse(spark, tmp_path, inventory):
     configs = [replace(registry.get(n), url=inventory.as_uri()) for n in ("bafu-electricity-processes", "bafu-electricity-exchanges", "bafu-energy-processes")]
     out = pipeline.run_family(spark, configs, RunContext(tmp_path / "c", tmp_path / "o"))
     assert [pq.read_table(p).num_rows for p in out] == [1, 4, 1]
+
+
+def test_audit(spark, tmp_path, inventory, capsys):
+    from dataclasses import replace
+
+    from quernstone.__main__ import main
+    from quernstone.plans.audit import audit
+    from quernstone.sinks.writers import sector_metadata
+
+    names = [c for c in registry.builtin() if c.name.startswith("bafu-") and c.format == "zip" and c.target == "inventory"] + [registry.get("bafu-elementary-flows-emissions-to-air")]
+    out = tmp_path / "o"
+    configs = [replace(c, url=inventory.as_uri(), collection=None, item_class=None) for c in names]
+    pipeline.run_family(spark, configs, RunContext(tmp_path / "c", out))
+    sector_metadata(out / "inventory/02-electricity", "02-electricity", "Electricity", "d", 2)
+    products = spark.createDataFrame([("Power - CH",), ("Power - US-CH",), ("CrÃ¨me - FR",), (None,)], "product string")
+    got = {r["check"]: (r["ok"], r["detail"]) for r in audit(spark, out, 3, products).collect()}
+    assert got["there are 3 processes"] == (True, "3") and got["process ids are unique"][0]
+    assert got["inputs and products are processes"] == (False, "1")  # number 999 is nowhere
+    assert got["biosphere flows are terms"][0] and got["exchanges belong to processes"][0]
+    assert got["workbook products are covered"] == (False, "1") and got["02-electricity/metadata.json is complete"][0]
+    assert main(["audit", "--output-dir", str(out)]) == 1 and "FAIL inputs" in capsys.readouterr().out
+    assert audit(spark, tmp_path / "none").collect()[-1]["ok"] is False
