@@ -58,3 +58,23 @@ miss AS (
 """
 SQL["p2_found"] = _MISS + "SELECT tab, rec_id, field, ref_key, kind FROM miss WHERE kind IS NOT NULL"
 SQL["p2_report"] = _MISS + "SELECT tab, field, kind, strftime(loaded_at, '%Y-%m') AS month, count(*) AS n_refs FROM miss WHERE kind IS NOT NULL GROUP BY ALL"
+
+# Values by one pattern of alternatives; it leans on this data's values holding no delimiter unless they are quoted.
+_VALUE = r"""'"(?:[^"]|"")*"|''F\d\d\.[^'']*''|F\d\d\.[^$|;,/\n\t"\[\]]+'"""
+_REFS = r"""'https?://[^\s£|;,"Â]+|doc:[A-Za-z]{2}-\d+'"""
+_GAPS = r"""'[\s£Â|;,"]+$'"""
+SQL["p3_found"] = f"""
+WITH f AS (
+  SELECT rec_id, 'allFacets' AS field, unnest(attrs['allFacets']) AS s, generate_subscripts(attrs['allFacets'], 1) AS i FROM terms
+  UNION ALL SELECT rec_id, 'implicitFacets', unnest(attrs['implicitFacets']), generate_subscripts(attrs['implicitFacets'], 1) FROM terms),
+m AS (SELECT rec_id, field, i, regexp_extract_all(regexp_replace(s, '^\\s*[A-Za-z0-9]+\\s*#', ''), {_VALUE}) AS m FROM f),
+v AS (SELECT rec_id, field, i, unnest(m) AS raw, generate_subscripts(m, 1) AS j FROM m),
+n AS (SELECT rec_id, termScopeNote AS t, regexp_extract_all(termScopeNote, {_REFS}) AS refs FROM terms WHERE termScopeNote IS NOT NULL),
+w AS (SELECT rec_id, refs, CASE WHEN len(refs) > 0 THEN substr(t, 1, strpos(t, refs[1]) - 1) ELSE t END AS t FROM n),
+q AS (SELECT rec_id, refs, trim(CASE WHEN t[1] = '"' THEN replace(regexp_extract(t, '^"((?:[^"]|"")*)"', 1), '""', '"') ELSE regexp_replace(t, {_GAPS}, '') END) AS note FROM w),
+every AS (
+  SELECT rec_id, field, i, j, trim(CASE WHEN raw[1] = '"' THEN replace(raw[2:-2], '""', '"') WHEN raw[1] = '''' THEN raw[2:-2] ELSE raw END) AS value FROM v
+  UNION ALL SELECT rec_id, 'termScopeNote', 0, 0, note FROM q WHERE note <> ''
+  UNION ALL SELECT rec_id, 'termScopeNote', 1, generate_subscripts(refs, 1), unnest(refs) FROM q),
+numbered AS (SELECT rec_id, field, CAST(row_number() OVER (PARTITION BY rec_id, field ORDER BY i, j) AS INT) AS pos, value, count(*) OVER (PARTITION BY rec_id, field) AS k FROM every WHERE value <> '')
+SELECT rec_id, field, pos, value FROM numbered WHERE k >= 2"""
