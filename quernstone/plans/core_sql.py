@@ -78,3 +78,48 @@ every AS (
   UNION ALL SELECT rec_id, 'termScopeNote', 1, generate_subscripts(refs, 1), unnest(refs) FROM q),
 numbered AS (SELECT rec_id, field, CAST(row_number() OVER (PARTITION BY rec_id, field ORDER BY i, j) AS INT) AS pos, value, count(*) OVER (PARTITION BY rec_id, field) AS k FROM every WHERE value <> '')
 SELECT rec_id, field, pos, value FROM numbered WHERE k >= 2"""
+
+
+def _p4() -> str:
+    """Units by words alone: an independent way to what the graph of spellings finds on these data."""
+    from quernstone.functions import spelling as sp
+
+    codes = "SELECT unit_code AS code, unit_name AS name FROM units"
+    words = ", ".join(f"('{sp.compact(w)}', '{c}')" for c, ws in sp.WORDS.items() for w in ws)
+    powers = ", ".join(f"('{w}', {v:g})" for w, v in sp.MULTIPLIER_WORDS.items())
+    nothing = "('', 'nan', 'none', '<na>', 'n/a', 'na', 'n.a.', 'null', 'unknown')"
+    said = lambda c: f"CASE WHEN lower(trim({c})) NOT IN {nothing} AND regexp_matches({c}, '\\pL') THEN {c} END"
+    pattern = r"'(?:\[([^\[\]]{1,40})\]|\(((?:[^()]|\([^()]*\)){1,40})\)|(?:,\s+in|,\s+per|;\s*unit:|\samount in)\s+((?:[^,;\[\]()]|\([^()]*\)){1,40}))\s*$'"
+    named = f"nullif(concat(regexp_extract(flow_name, {pattern}, 1), regexp_extract(flow_name, {pattern}, 2), regexp_extract(flow_name, {pattern}, 3)), '')"
+    # the garblings of the few unit signs beyond ASCII
+    signs = {"³": ["Â³", "┬│", "¬≥", "ÃÂ³", "Ã‚Â³", "Ві", "В³", "Âł"], "²": ["Â²", "┬▓", "¬≤", "Ã‚Â²", "ВІ", "В²", "Â˛"], "µ": ["Âµ", "┬╡", "Î¼", "╬╝", "Ã‚Âµ"], "ü": ["Ã¼", "├╝", "√º", "ÃƒÂ¼", "Гј", "ĂĽ"], "è": ["Ã¨", "├¿", "√®", "Г\xa0"]}
+    fixed = "txt"
+    for good, bads in signs.items():
+        for bad in sorted(bads, key=len, reverse=True):
+            fixed = f"replace({fixed}, '{bad}', '{good}')"
+    return f"""
+WITH cc AS ({codes}),
+low AS (SELECT *, trim(regexp_replace({fixed}, '\\s+', ' ', 'g')) AS s FROM (SELECT DISTINCT txt FROM (
+  SELECT coalesce({said('unit')}, {named}) AS txt FROM exchanges UNION ALL SELECT source_unit FROM crosswalk UNION ALL SELECT target_unit FROM crosswalk) WHERE txt IS NOT NULL)),
+num AS (SELECT *,
+  regexp_extract(s, '^10(?:\\^)?([⁰¹²³⁴⁵⁶⁷⁸⁹⁻]+|\\^-?[0-9]+) *(.+)$', 1) AS up, regexp_extract(s, '^([0-9]+(?:''[0-9]+)*(?:[.][0-9]+)?)(?:[eE](-?[0-9]+))? *([^0-9 ^⁰¹²³⁴⁵⁶⁷⁸⁹].*)$', 1) AS n,
+  regexp_extract(s, '^([0-9]+(?:''[0-9]+)*(?:[.][0-9]+)?)(?:[eE](-?[0-9]+))? *([^0-9 ^⁰¹²³⁴⁵⁶⁷⁸⁹].*)$', 2) AS e, split_part(s, ' ', 1) AS head FROM low),
+pw(w, v) AS (VALUES {powers}),
+base AS (SELECT txt,
+  CASE WHEN regexp_matches(s, '^10\\^-?[0-9]+ ') THEN pow(10, CAST(regexp_extract(s, '^10\\^(-?[0-9]+)', 1) AS INT)) WHEN regexp_matches(s, '^10[⁰¹²³⁴⁵⁶⁷⁸⁹⁻]+ ') THEN pow(10, CAST(translate(regexp_extract(s, '^10([⁰¹²³⁴⁵⁶⁷⁸⁹⁻]+)', 1), '⁰¹²³⁴⁵⁶⁷⁸⁹⁻', '0123456789-') AS INT))
+    WHEN n <> '' THEN CAST(replace(n, '''', '') || CASE WHEN e <> '' THEN 'e' || e ELSE '' END AS DOUBLE) WHEN v IS NOT NULL THEN v ELSE 1.0 END AS mult,
+  CASE WHEN regexp_matches(s, '^10\\^-?[0-9]+ |^10[⁰¹²³⁴⁵⁶⁷⁸⁹⁻]+ ') THEN regexp_replace(s, '^[^ ]+ ', '') WHEN n <> '' THEN regexp_replace(s, '^[0-9''.]+(?:[eE]-?[0-9]+)? *', '') WHEN v IS NOT NULL THEN substr(s, length(head) + 2) ELSE s END AS b
+  FROM num LEFT JOIN pw ON lower(rtrim(head, '.')) = w AND s <> head),
+form AS (SELECT *, regexp_replace(lower(strip_accents(translate(b, '²³µμ', '23uu'))), '[^a-z0-9]', '', 'g') AS f FROM base WHERE NOT regexp_matches(b, '[?�]')),
+lex AS (SELECT f, min(code) AS code FROM (
+  SELECT regexp_replace(lower(x), '[^a-z0-9]', '', 'g') AS f, code FROM (SELECT unnest([code, name, name || 's', replace(name, 'metre', 'meter'), replace(name, 'litre', 'liter'), replace(name, 'metre', 'meter') || 's', replace(name, 'litre', 'liter') || 's']) AS x, code FROM cc)
+  UNION SELECT f, code FROM (VALUES {words}) AS t(f, code) UNION SELECT f || 's', code FROM (VALUES {words}) AS t(f, code)) GROUP BY f HAVING count(DISTINCT code) = 1),
+voc AS (SELECT txt, mult, u.* FROM (SELECT txt, mult, coalesce(x.code, CASE trim(b, ' .') WHEN 'Mg' THEN 't' END, lex.code) AS code FROM form LEFT JOIN cc x ON trim(b) = x.code LEFT JOIN lex USING (f)) JOIN units u ON code = u.unit_code),
+ex AS (SELECT rec_id, amount, unit, coalesce({said('unit')}, {named}) AS txt FROM exchanges WHERE amount IS NOT NULL)
+SELECT 'exchanges' AS tab, rec_id, common_unit AS unit, printf('%.4e', amount * mult * factor) AS value FROM ex JOIN voc USING (txt) WHERE unit IS DISTINCT FROM common_unit
+UNION ALL
+SELECT 'crosswalk', c.rec_id, b.unit_code, printf('%.4e', (a.mult * a.factor) / (b.mult * b.factor)) FROM crosswalk c JOIN voc a ON c.source_unit = a.txt JOIN voc b ON c.target_unit = b.txt
+WHERE a.quantity = b.quantity AND (unit_conversion IS NULL OR abs(unit_conversion - (a.mult * a.factor) / (b.mult * b.factor)) > 0.01 * (a.mult * a.factor) / (b.mult * b.factor))"""
+
+
+SQL["p4_found"] = _p4()
