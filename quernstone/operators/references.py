@@ -13,12 +13,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions.keys import key, month
 
 FINE_BITS = 12
+PLANNED_SLOTS = 50_000  #: up to so many slots the plan of partitions is broadcast
 MISSING, LATE, DELETED = "missing", "late", "deleted"
 
 _OUT = "tab string, rec_id bigint, field string, ref_key string, kind string, month int"
@@ -143,8 +144,25 @@ def orphans(references: DataFrame, parents: DataFrame, target: int = 200_000) ->
         (F.col("slot") + F.pmod(F.xxhash64("rec_id"), F.col("many")).cast("int")).alias("slot"), F.lit(1).cast("tinyint").alias("side"), "h", "key", "tab", "rec_id", "field",
         F.col("ref").alias("raw"), F.coalesce(month(F.col("loaded_at")), F.lit(-1)).alias("m"), F.coalesce(us("loaded_at"), F.lit(-(1 << 62))).alias("us"), F.lit(None).cast("bigint").alias("dead"),
     )
-    both = left.unionByName(right).repartition(max(slots, 2), "slot").sortWithinPartitions("side")
-    return both.drop("slot").mapInArrow(_probe, _OUT)
+    both = left.unionByName(right)
+    n = max(slots, 2)
+    if n <= PLANNED_SLOTS:  # every slot gets a partition of its own; hashed slots would share some and leave others empty
+        both = both.join(F.broadcast(own_partition(spark, n)), "slot")
+        both = both.repartition(n, "part_key")
+    else:
+        both = both.withColumn("part_key", F.col("slot")).repartition(n, "part_key")
+    return both.drop("slot", "part_key").sortWithinPartitions("side").mapInArrow(_probe, _OUT)
+
+
+def own_partition(spark: SparkSession, n: int) -> DataFrame:
+    """(slot, part_key): numbers that Spark's hash partitioning puts into ``n`` different partitions.
+
+    Among 16 n numbers nearly every partition has one; the slots of those that have none double up.
+    """
+    ids = spark.range(16 * n).select(F.col("id").cast("int").alias("part_key"))
+    found = ids.groupBy(F.pmod(F.hash("part_key"), F.lit(n)).cast("int").alias("slot")).agg(F.min("part_key").alias("part_key"))
+    every = spark.range(n).select(F.col("id").cast("int").alias("slot"))
+    return every.join(found, "slot", "left").select("slot", F.coalesce("part_key", "slot").alias("part_key"))
 
 
 def report(misses: DataFrame) -> DataFrame:

@@ -60,3 +60,12 @@ def test_report(spark):
 def test_cuts_give_a_full_bucket_several_slots():
     got = rf.cuts({0: 10, 1: 95, 2: 5}, 20)
     assert got[0] == (0, 0, 1) and got[1][2] == 5 and got[2][1] >= got[1][1] + 5
+
+
+def test_slots_get_partitions_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    keys = rf.own_partition(spark, 40)
+    assert keys.count() == 40
+    parts = keys.repartition(40, "part_key").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 38
