@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.errors import DedupError
@@ -11,6 +11,14 @@ from quernstone.functions.text import normalize_label
 POLICIES = ("skip", "error", "overwrite")
 
 
+def content(df: DataFrame, columns: list[str]) -> Column:
+    """A 64-bit hash of the columns; maps, which have no order to hash, go in as JSON."""
+    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    parts = [F.to_json(F.struct(c)) if c in maps else F.col(c) for c in columns]
+    # a null leaves the hash as it was, so the places of nulls are hashed, too
+    return F.xxhash64(*parts, *(F.col(c).isNull() for c in columns)) if columns else F.lit(0).cast("bigint")
+
+
 def first_wins(df: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
     """The first row of every key by ``order``; null is a key like any other.
 
@@ -18,15 +26,14 @@ def first_wins(df: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
     key never gathers its rows in one task. Repeated orders are settled by the row's own content.
     """
     rest = [c for c in df.columns if c not in keys and c != order]
-    # map columns cannot be compared, so rows carry them outside the ordering
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(order, *rest), F.struct(F.col(order), F.xxhash64(*(F.to_json(F.struct(c)) for c in rest)) if rest else F.lit(0))).alias("row"))
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(order, *rest), F.struct(F.col(order), content(df, rest))).alias("row"))
     return best.select(*keys, "row.*").select(*df.columns)
 
 
 def conflicts(df: DataFrame, key: str = "iri", order: str = "ord") -> DataFrame:
     """(key, n_variants) of identifiers whose rows differ in any other column than ``order``."""
-    content = F.xxhash64(*(F.to_json(F.struct(c)) for c in df.columns if c not in (key, order)))
-    found = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct(content).alias("n_variants"))
+    rows = content(df, [c for c in df.columns if c not in (key, order)])
+    found = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct(rows).alias("n_variants"))
     return found.where("n_variants > 1")
 
 
