@@ -103,18 +103,21 @@ def vocabulary(spellings: DataFrame, links: DataFrame, units: DataFrame, rounds:
 
     vocab = cut(spellings.select("spelling").where("spelling is not null").distinct().mapInPandas(read, "spelling string, multiplier double, words array<string>, exact boolean"))
 
-    def snap(rows: pd.DataFrame) -> pd.DataFrame:
-        """One spelling with its links to resolved ones."""
-        mult, suggested = float(rows["multiplier"].iloc[0]), list(rows["words"].iloc[0])
-        weight = rows.groupby("quantity")["n"].sum()
-        kind = weight.idxmax()
+    def snap(mult: float, suggested: list[str], found: list) -> tuple[str | None, str | None]:
+        """(unit code, ground) of one spelling with its links to resolved ones."""
+        weight: dict[str, int] = {}
+        for r in found:
+            weight[r["quantity"]] = weight.get(r["quantity"], 0) + r["n"]
+        kind = max(sorted(weight), key=weight.__getitem__)
         cost = {c: 0.0 for c in codes if quantity[c] == kind}
         near = dict.fromkeys(cost, math.inf)
-        for r in rows[rows["quantity"] == kind].itertuples():
-            sd = r.spread if r.n >= 8 else max(r.spread, 1.3)
-            se = max(0.02, 1.25 * sd / math.sqrt(r.n))
+        for r in found:
+            if r["quantity"] != kind:
+                continue
+            sd = r["spread"] if r["n"] >= 8 else max(r["spread"], 1.3)
+            se = max(0.02, 1.25 * sd / math.sqrt(r["n"]))
             for c in cost:
-                z = abs(r.scale - math.log10(mult) - logf[c]) / se
+                z = abs(r["scale"] - math.log10(mult) - logf[c]) / se
                 cost[c] += min(z * z / 2, 200.0)
                 near[c] = min(near[c], z)
         for c in cost:
@@ -123,14 +126,17 @@ def vocabulary(spellings: DataFrame, links: DataFrame, units: DataFrame, rounds:
         best = order[0]
         lead = cost[order[1]] - cost[best] if len(order) > 1 else math.inf
         if suggested and not any(c in cost for c in suggested):
-            pick, how = suggested[0], "words"  # its flows are of another quantity
-        elif best in suggested:
-            pick, how = best, "both"
-        elif near[best] <= NEAR and lead >= LEAD:
-            pick, how = best, "scale"
-        else:
-            pick, how = (suggested[0], "words") if suggested else (None, None)
-        return pd.DataFrame({"spelling": [rows["spelling"].iloc[0]], "multiplier": [mult], "unit_code": [pick], "how": [how]})
+            return suggested[0], "words"  # its flows are of another quantity
+        if best in suggested:
+            return best, "both"
+        if near[best] <= NEAR and lead >= LEAD:
+            return best, "scale"
+        return (suggested[0], "words") if suggested else (None, None)
+
+    def snapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [snap(m, list(w), list(x)) for m, w, x in zip(b["multiplier"], b["words"], b["found"], strict=True)]
+            yield pd.DataFrame({"spelling": b["spelling"], "multiplier": b["multiplier"], "unit_code": [c for c, _ in got], "how": [h for _, h in got]})
 
     info = F.broadcast(units.sparkSession.createDataFrame([(c, quantity[c], logf[c]) for c in sorted(codes)], "unit_code string, quantity string, logf double"))  # the unit table
     both = cut(links.select("a", "b", "d", "n", "spread").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), (-F.col("d")).alias("d"), "n", "spread")))
@@ -139,7 +145,9 @@ def vocabulary(spellings: DataFrame, links: DataFrame, units: DataFrame, rounds:
         known = done.where("unit_code is not null").join(info, "unit_code").select(F.col("spelling").alias("b"), "quantity", (F.col("logf") + F.log10("multiplier")).alias("b_scale"))
         open_ = vocab.join(done.select("spelling"), "spelling", "left_anti")
         reached = open_.join(both, F.col("spelling") == F.col("a")).join(known, "b").select("spelling", "multiplier", "words", "quantity", (F.col("d") + F.col("b_scale")).alias("scale"), "n", "spread")
-        new = cut(reached.groupBy("spelling").applyInPandas(snap, _VOCAB))
+        # links of a spelling: at most one to each resolved spelling
+        linked = reached.groupBy("spelling", "multiplier", "words").agg(F.collect_list(F.struct("quantity", "scale", "n", "spread")).alias("found"))
+        new = cut(linked.mapInPandas(snapped, _VOCAB))
         if new.isEmpty():
             break
         done = cut(done.unionByName(new))
