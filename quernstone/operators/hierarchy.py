@@ -189,44 +189,108 @@ def hierarchy(nodes: DataFrame, paths: bool = False, base_rows: int = 150_000, p
     """Root, depth and path of every node.
 
     ``nodes``: (node, parent), ``node`` unique and not null; other columns are ignored. Returns
-    (node, root, depth, kind, path): kind is ``root`` for nodes whose chain ends, ``cycle`` for
-    nodes of a cycle (root ``(cycle)``, depth -1) and ``to_cycle`` for nodes whose chain leads into
-    one (root ``(cycle)``, depth -2). path runs from the root to the node if ``paths``, else it is
-    null; for cyclic chains it holds only the node. A parent that is null or no node of the table
-    makes a root of depth 0; a node that is its own parent is a cycle of length one. An empty
-    table gives an empty result.
+    (node, root, depth, kind, path, chain, parent): kind is ``root`` for nodes whose chain ends,
+    ``cycle`` for nodes of a cycle (root ``(cycle)``, depth -1) and ``to_cycle`` for nodes whose
+    chain leads into one (root ``(cycle)``, depth -2). path runs from the root to the node if
+    ``paths``, else it is null; for cyclic chains it holds only the node. chain is the same with
+    cyclic chains kept: it begins at the cycle's first node that the chain meets, which for a node
+    of a cycle is the node itself. parent is null where it is no node of the table. A parent that is
+    null or no node of the table makes a root of depth 0; a node that is its own parent is a cycle
+    of length one. An empty table gives an empty result.
 
     base_rows: a quotient forest of at most that many nodes is solved in one task.
     part_rows: nodes of a partition. few: parents with more children are never mates.
     """
     nodes = cut(nodes.select("node", "parent"))
     known = nodes.join(nodes.select(F.col("parent").alias("p")).where("p is not null").distinct(), F.col("node") == F.col("p"), "left_semi").select(F.col("node").alias("p"))
-    edges = cut(
-        nodes.join(known, F.col("parent") == F.col("p"), "left").select(
-            "node", F.col("p").alias("parent"),
-            F.when(F.col("p").isNull(), 0).otherwise(1).cast("bigint").alias("steps"),
-            F.when(F.col("p").isNull(), F.col("node")).alias("term_root"),
-            F.when(F.col("p").isNull(), F.lit(ROOT)).alias("term_kind"),
-            (F.array("node") if paths else F.lit(None).cast("array<string>")).alias("seg"),
-        )
-    )
+    edges = _edges(nodes.join(known, F.col("parent") == F.col("p"), "left").select("node", F.col("p").alias("parent")), paths)
     out = _solve(edges, 0, paths, base_rows, part_rows, few)
+    if paths:
+        out = cut(out)
     bad = _bad(F.col("kind"))
-    return out.select(
+    none = F.lit(None).cast("array<string>")
+    tree = out.select(
         "node",
         F.when(bad, F.lit(CYCLE_ROOT)).otherwise(F.col("root")).alias("root"),
         F.when(F.col("kind") == CYCLE, -1).when(bad, -2).otherwise(F.col("depth")).cast("int").alias("depth"),
         "kind",
-        (F.when(bad, F.array("node")).otherwise(F.reverse("seg")) if paths else F.lit(None).cast("array<string>")).alias("path"),
+        (F.when(bad, F.array("node")).otherwise(F.reverse("seg")) if paths else none).alias("path"),
+    ).join(edges.select("node", "parent"), "node")
+    if not paths:
+        return tree.select("node", "root", "depth", "kind", "path", none.alias("chain"), "parent")
+    tails = _tails(out, edges, base_rows, part_rows, few)
+    if tails is None:
+        return tree.select("node", "root", "depth", "kind", "path", F.col("path").alias("chain"), "parent")
+    return tree.join(tails, "node", "left").select("node", "root", "depth", "kind", "path", F.coalesce("tail", "path").alias("chain"), "parent")
+
+
+def _edges(nodes: DataFrame, paths: bool) -> DataFrame:
+    """The first level's rows of (node, parent), every parent being a node or null."""
+    top = F.col("parent").isNull()
+    return cut(
+        nodes.select(
+            "node", "parent",
+            F.when(top, 0).otherwise(1).cast("bigint").alias("steps"),
+            F.when(top, F.col("node")).alias("term_root"),
+            F.when(top, F.lit(ROOT)).alias("term_kind"),
+            (F.array("node") if paths else F.lit(None).cast("array<string>")).alias("seg"),
+        )
     )
 
 
+def _tails(solved: DataFrame, edges: DataFrame, base_rows: int, part_rows: int, few: int) -> DataFrame | None:
+    """(node, tail) of the nodes that lead into a cycle, tail running from the cycle's node to them.
+
+    With the parents of its cycles' nodes taken away, what is left of the cyclic chains is a forest.
+    """
+    bad = solved.where(_bad(F.col("kind"))).select("node", "kind")
+    if bad.where(F.col("kind") == TO_CYCLE).isEmpty():
+        return None
+    up = F.when(F.col("kind") == TO_CYCLE, F.col("parent")).alias("parent")
+    forest = _edges(bad.join(edges.select("node", "parent"), "node").select("node", up), True)
+    return cut(_solve(forest, 0, True, base_rows, part_rows, few).select("node", F.reverse("seg").alias("tail")))
+
+
+def rings(cycles: DataFrame) -> DataFrame:
+    """(node, ring, at, length): the cycle of each node, named by its least node, and the steps up to that.
+
+    cycles: (node, parent), nodes of cycles alone. Every round doubles the steps that are looked
+    ahead; once no node finds a lesser one, all nodes of a cycle have found its least.
+    """
+    now = cut(cycles.select("node", F.col("parent").alias("jump"), F.col("node").alias("ring"), F.lit(0).cast("bigint").alias("at")))
+    span = 1
+    while True:
+        on = now.select(F.col("node").alias("x"), F.col("jump").alias("x_jump"), F.col("ring").alias("x_ring"), F.col("at").alias("x_at"))
+        less = F.col("x_ring") < F.col("ring")
+        new = cut(
+            now.join(on, F.col("jump") == F.col("x")).select(
+                "node", F.col("x_jump").alias("jump"), F.when(less, F.col("x_ring")).otherwise(F.col("ring")).alias("ring"),
+                F.when(less, F.col("x_at") + span).otherwise(F.col("at")).alias("at"), less.alias("moved"),
+            )
+        )
+        now, span = new.drop("moved"), 2 * span
+        if new.where("moved").isEmpty():
+            break
+    return now.select("node", "ring", "at").join(now.groupBy("ring").agg(F.count("*").alias("length")), "ring").select("node", "ring", "at", "length")
+
+
 def descendants(tree: DataFrame) -> DataFrame:
-    """(ancestor, descendant, distance) of every pair on a path; needs ``hierarchy(paths=True)``.
+    """(ancestor, descendant, distance) of every pair on a chain; needs ``hierarchy(paths=True)``.
 
-    One row per ancestor of each node, so the result is as long as all paths together; nodes of
-    cyclic chains have no ancestors here.
+    One row per ancestor of each node, so the result is as long as all chains together. A node
+    whose chain leads into a cycle has the nodes up to the cycle and every node of the cycle as
+    ancestors, a node of a cycle all its other nodes; each comes once, at the least distance, and no
+    node is its own ancestor.
     """
-    ok = tree.where(F.col("kind") == ROOT).select("node", "path")
-    pairs = ok.select(F.col("node").alias("descendant"), F.size("path").alias("n"), F.posexplode("path").alias("i", "ancestor"))
-    return pairs.where(F.col("i") < F.col("n") - 1).select("ancestor", "descendant", (F.col("n") - 1 - F.col("i")).cast("int").alias("distance"))
+    tree = cut(tree.select("node", "parent", "kind", "chain"))
+    pairs = tree.select(F.col("node").alias("descendant"), F.size("chain").alias("n"), F.posexplode("chain").alias("i", "ancestor"))
+    out = pairs.where(F.col("i") < F.col("n") - 1).select("ancestor", "descendant", (F.col("n") - 1 - F.col("i")).cast("int").alias("distance"))
+    cyclic = tree.where(_bad(F.col("kind")))
+    if cyclic.isEmpty():
+        return out
+    ring = cut(rings(cyclic.where(F.col("kind") == CYCLE)))
+    # from the cycle's node that begins the chain on to the others
+    others = ring.select("ring", F.col("node").alias("ancestor"), F.col("at").alias("a_at"))
+    below = cyclic.select(F.col("node").alias("descendant"), F.col("chain")[0].alias("entry"), (F.size("chain") - 1).alias("steps"))
+    round_ = below.join(ring, F.col("entry") == F.col("node")).join(others, "ring").where("ancestor != entry")
+    return out.unionByName(round_.select("ancestor", "descendant", (F.col("steps") + F.pmod(F.col("at") - F.col("a_at"), F.col("length"))).cast("int").alias("distance")))

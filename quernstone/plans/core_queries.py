@@ -51,7 +51,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_paths(spark: SparkSession, d: str) -> DataFrame:
     tree = hierarchy(p1_nodes(spark, d), paths=True)
-    path = F.array_join(F.transform("path", lambda x: F.split_part(x, F.lit(SEP), F.lit(2))), " > ")
+    path = F.array_join(F.transform("chain", lambda x: F.split_part(x, F.lit(SEP), F.lit(2))), " > ")
     return tree.select(_tab("node").alias("tab"), F.split_part("node", F.lit(SEP), F.lit(2)).alias("node"), "depth", path.alias("path"))
 
 

@@ -71,3 +71,42 @@ def test_descendants(spark):
     df = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("x", "x")], "node string, parent string")
     got = {(r.ancestor, r.descendant, r.distance) for r in descendants(hierarchy(df, paths=True)).collect()}
     assert got == {("a", "b", 1), ("a", "c", 2), ("b", "c", 1)}
+
+
+def brute_pairs(parent):
+    """Every ancestor of every node, once and at the least distance."""
+    out = set()
+    for n in parent:
+        seen, x, k = {n}, n, 0
+        while (x := parent[x]) in parent and x not in seen:
+            seen.add(x)
+            k += 1
+            out.add((x, n, k))
+    return out
+
+
+def brute_chain(parent, n):
+    """From the root, or the first node of a cycle that the chain meets, to the node."""
+    path, on = [n], brute(parent)
+    while on[path[-1]][1] != -1 and parent[path[-1]] in parent:
+        path.append(parent[path[-1]])
+    return list(reversed(path))
+
+
+def mixed_forest():
+    """Cycles of length 1, 2 and 9 with subtrees below them, and ordinary trees."""
+    p = {"s": "s", "p": "q", "q": "p"} | {f"r{i}": f"r{(i + 4) % 9}" for i in range(9)}
+    p |= {"a": None, "a1": "a", "a2": "a1"}
+    for i in range(60):
+        p[f"t{i}"] = ["s", "q", "r3", "r7", "a2"][i % 5] if i < 10 else f"t{i - 7}"
+    return p
+
+
+@pytest.mark.parametrize("base_rows", [30, 10_000])
+def test_chains_and_descendants_of_cyclic_chains_against_brute_force(spark, base_rows):
+    parent = mixed_forest()
+    df = spark.createDataFrame(list(parent.items()), "node string, parent string")
+    tree = hierarchy(df, paths=True, base_rows=base_rows, part_rows=20)
+    assert {r.node: r.chain for r in tree.collect()} == {n: brute_chain(parent, n) for n in parent}
+    got = [(r.ancestor, r.descendant, r.distance) for r in descendants(tree).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(parent)
