@@ -57,12 +57,15 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(cut(p8_mixed(spark, d)), table(spark, d, "mix_targets"))
 
 
-def p8_shares_full(spark: SparkSession, d: str) -> DataFrame:
-    """The same for mixes of as many tokens as there are in all documents: small sources run short."""
+def p8_mixed_full(spark: SparkSession, d: str) -> DataFrame:
+    """The selection for mixes of as many tokens as there are in all documents: small sources run short."""
     sized = cut(tokens.counted(table(spark, d, "documents"), ["doc_id", "source", "lang"]))
     n = sized.agg(F.sum("n_tokens")).first()[0] or 0
-    targets = table(spark, d, "mix_targets")
-    return mixing.shares(cut(mixing.mixed(sized, targets, total_tokens=n)), targets)
+    return mixing.mixed(sized, table(spark, d, "mix_targets"), total_tokens=n)
+
+
+def p8_shares_full(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(cut(p8_mixed_full(spark, d)), table(spark, d, "mix_targets"))
 
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -77,4 +80,4 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(p9_scores(spark, d))
 
 
-QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p7_containers": p7_containers, "p7_fills": p7_fills, "p7_summary": p7_summary, "p8_mixed": p8_mixed, "p8_shares": p8_shares, "p8_shares_full": p8_shares_full, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
+QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p7_containers": p7_containers, "p7_fills": p7_fills, "p7_summary": p7_summary, "p8_mixed": p8_mixed, "p8_mixed_full": p8_mixed_full, "p8_shares": p8_shares, "p8_shares_full": p8_shares_full, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}

@@ -70,3 +70,15 @@ def test_empty_tables_and_nulls(spark):
     assert mx.mixed(df, t.limit(0)).count() == 0
     odd = spark.createDataFrame([("a", "big", None, None), ("a", "mid", -1.0, 2), (None, "big", 0.5, 1), ("a", None, 0.5, 1)], T)
     assert mx.mixed(df, odd).count() == 0
+
+
+def test_the_selection_of_full_size_is_a_query(spark, tmp_path):
+    from quernstone.llm import queries
+
+    rows = [(i, "small" if i < 3 else "big", "en", f"Wheat flour of type {i}, stored at the mill") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("a", "big", 0.5, 3), ("a", "small", 0.5, 2)], T).write.parquet(f"{tmp_path}/mix_targets.parquet")
+    used = lambda q: {(r.source, r.doc_id): r.n_used for r in queries.QUERIES[q](spark, str(tmp_path)).collect()}
+    full, reached = used("p8_mixed_full"), used("p8_mixed")
+    assert {k for (s, _), k in full.items() if s == "small"} == {2}  # used up, the other source makes up for it
+    assert sum(full.values()) > 50 > sum(reached.values())
