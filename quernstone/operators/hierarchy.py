@@ -131,7 +131,7 @@ def _solve(edges: DataFrame, level: int, paths: bool, base_rows: int, part_rows:
     n = edges.count()
     if level > 80:
         raise TransformError("the hierarchy does not contract")
-    if n <= base_rows:
+    if level > 0 and n <= base_rows:
         one = _contracted(edges.withColumn("label", F.lit("")).repartition(1), paths)
         return one.select("node", F.col("to").alias("root"), F.col("steps").alias("depth"), "kind", "seg")
 
@@ -198,7 +198,8 @@ def hierarchy(nodes: DataFrame, paths: bool = False, base_rows: int = 150_000, p
     null or no node of the table makes a root of depth 0; a node that is its own parent is a cycle
     of length one. An empty table gives an empty result.
 
-    base_rows: a quotient forest of at most that many nodes is solved in one task.
+    base_rows: a quotient forest of at most that many nodes is solved in one task; the table itself
+    is contracted at any size.
     part_rows: nodes of a partition. few: parents with more children are never mates.
     """
     nodes = cut(nodes.select("node", "parent"))

@@ -110,3 +110,13 @@ def test_chains_and_descendants_of_cyclic_chains_against_brute_force(spark, base
     assert {r.node: r.chain for r in tree.collect()} == {n: brute_chain(parent, n) for n in parent}
     got = [(r.ancestor, r.descendant, r.distance) for r in descendants(tree).collect()]
     assert len(got) == len(set(got)) and set(got) == brute_pairs(parent)
+
+
+def test_the_table_itself_is_never_solved_in_one_task(spark, monkeypatch):
+    from quernstone.operators import hierarchy as h
+
+    parent, levels, solve = forest("random", 60, 5), [], h._solve
+    monkeypatch.setattr(h, "_solve", lambda edges, level, *a: levels.append(level) or solve(edges, level, *a))
+    df = spark.createDataFrame(list(parent.items()), "node string, parent string")
+    assert {r.node: (r.root, r.depth) for r in hierarchy(df).collect()} == {n: v[:2] for n, v in brute(parent).items()}
+    assert levels == [0, 1]
