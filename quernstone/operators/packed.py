@@ -91,6 +91,10 @@ class Value:
 _DELIM = r"[\s$|;,/£]"
 _QUOTE = "\"'"
 _START = r"[\"'\[\\\s]*F\d\d\."
+#: Balanced brackets, three deep, that belong to a value; those around values are delimiters.
+_BRACKETED = r"\[[^\[\]]*\]"
+for _ in range(2):
+    _BRACKETED = rf"\[(?:[^\[\]]|{_BRACKETED})*\]"
 _END = rf"(?:{_DELIM}|\])*(?:$|{_START})"
 
 
@@ -113,7 +117,7 @@ def _escaped(q: str, end: str) -> Rule:
 
 
 def _bare(end: str, stop: str) -> Rule:
-    """Up to a delimiter after which a value or the end follows; a stray quote is flagged."""
+    """Up to a delimiter, outside the value's own brackets, after which a value or the end follows; a stray quote is flagged."""
 
     def clean(text: str) -> Value:
         t = re.sub(r"\\(.)", r"\1", text).strip()
@@ -121,7 +125,7 @@ def _bare(end: str, stop: str) -> Rule:
         stray = inner != t and not (t.endswith("'") and "'" not in t[:-1] and False)
         return Value(inner, "quote" if stray else None)
 
-    return apply(match(rf"(.+?)(?={stop}{end}|\s*$)", 1), clean)
+    return apply(match(rf"((?:{_BRACKETED}|.)+?)(?={stop}{end}|\s*$)", 1), clean)
 
 
 _GAP = match(rf"(?:{_DELIM}|[\[\]])*")

@@ -76,3 +76,16 @@ def test_unpack_counts_through_the_array(spark):
     assert got == [(1, 1, "F01.a"), (1, 2, "F02.b"), (1, 3, "F03.c"), (1, 1, "F01.a"), (1, 2, "F02.b")]
     assert unpack(df, "facets").where("rec_id = 5").count() == 5000
     assert unpack(df.limit(0), "facets").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("F17.dried [whole]$F20.x", ["F17.dried [whole]", "F20.x"]),
+        ("[F17.dried [whole], F20.cut [in [two]]]", ["F17.dried [whole]", "F20.cut [in [two]]"]),
+        ("[F17.a, F20.b]$[F21.c]", ["F17.a", "F20.b", "F21.c"]),
+        ("F17.open [whole$F20.x", ["F17.open [whole", "F20.x"]),
+    ],
+)
+def test_brackets_of_a_value_stay_with_it(text, want):
+    assert texts(facets(text)) == want
