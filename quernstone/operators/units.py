@@ -85,11 +85,12 @@ def _gather(per: DataFrame) -> DataFrame:
 _VOCAB = "spelling string, multiplier double, unit_code string, how string"
 
 
-def vocabulary(spellings: DataFrame, links: DataFrame, units: DataFrame, rounds: int = 4) -> DataFrame:
+def vocabulary(spellings: DataFrame, links: DataFrame, units: DataFrame) -> DataFrame:
     """(spelling, multiplier, unit_code, how): what each spelling stands for.
 
     Known codes are the roots of the graph; in every round the spellings linked to a resolved one
-    are snapped. how: ``code``, ``words`` (no link reaches it), ``both``, ``scale`` (words unknown
+    are snapped, until none is resolved any more; a spelling not told by its links so far is tried
+    again with those of the next round. how: ``code``, ``words`` (no link reaches it), ``both``, ``scale`` (words unknown
     or overruled). Spellings that neither links nor words explain have a null unit_code.
     """
     table = fixed(units)
@@ -141,13 +142,13 @@ def vocabulary(spellings: DataFrame, links: DataFrame, units: DataFrame, rounds:
     info = F.broadcast(units.sparkSession.createDataFrame([(c, quantity[c], logf[c]) for c in sorted(codes)], "unit_code string, quantity string, logf double"))  # the unit table
     both = cut(links.select("a", "b", "d", "n", "spread").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), (-F.col("d")).alias("d"), "n", "spread")))
     done = vocab.where("exact").select("spelling", "multiplier", F.col("spelling").alias("unit_code"), F.lit("code").alias("how"))
-    for _ in range(rounds):
+    while True:
         known = done.where("unit_code is not null").join(info, "unit_code").select(F.col("spelling").alias("b"), "quantity", (F.col("logf") + F.log10("multiplier")).alias("b_scale"))
         open_ = vocab.join(done.select("spelling"), "spelling", "left_anti")
         reached = open_.join(both, F.col("spelling") == F.col("a")).join(known, "b").select("spelling", "multiplier", "words", "quantity", (F.col("d") + F.col("b_scale")).alias("scale"), "n", "spread")
         # links of a spelling: at most one to each resolved spelling
         linked = reached.groupBy("spelling", "multiplier", "words").agg(F.collect_list(F.struct("quantity", "scale", "n", "spread")).alias("found"))
-        new = cut(linked.mapInPandas(snapped, _VOCAB))
+        new = cut(linked.mapInPandas(snapped, _VOCAB).where("unit_code is not null"))
         if new.isEmpty():
             break
         done = cut(done.unionByName(new))

@@ -47,6 +47,13 @@ def test_scales_travel_through_the_graph(spark, units):
     assert got == {"aa": "g", "bb": "t", "kg": "kg"}
 
 
+def test_scales_travel_as_far_as_links_go(spark, units):
+    names = ["kg", *(f"x{i}" for i in range(1, 8))]
+    pairs = spark.createDataFrame([(b, a, 1e-3 if i % 2 == 0 else 1e3) for i, (a, b) in enumerate(zip(names, names[1:], strict=False)) for _ in range(9)], "a string, b string, factor double")
+    got = {x.spelling: x.unit_code for x in un.vocabulary(spark.createDataFrame([(n,) for n in names], "spelling string"), un.links_by_factor(pairs), units).collect()}
+    assert got == {n: "kg" if i % 2 == 0 else "g" for i, n in enumerate(names)}
+
+
 def test_amounts_and_factors(spark, units):
     vocab = spark.createDataFrame([("kg", 1.0, "kg", "code"), ("Tonne", 1.0, "t", "words"), ("10 g", 10.0, "g", "words"), ("MJ", 1.0, "MJ", "code"), ("?", 1.0, None, None)], "spelling string, multiplier double, unit_code string, how string")
     amounts = spark.createDataFrame([("e", 1, 2.0, "kg", "kg"), ("e", 2, 2.0, "Tonne", "Tonne"), ("e", 3, -1.0, None, "10 g"), ("e", 4, None, "Tonne", "Tonne"), ("e", 5, 0.0, None, "kg"), ("e", 6, 1.0, "?", "?"), ("e", 2, 2.0, "Tonne", "Tonne")], "tab string, rec_id bigint, amount double, unit string, spelling string")
