@@ -3,8 +3,10 @@
 Every level of the recursion
 
 1. sets leaves aside (they only need their parent's answer),
-2. spreads the inner nodes over partitions by a label that puts about a quarter of them beside
-   their parent (random mates; parents of many children are never joined, so no label is hot),
+2. cuts random edges so that whole runs of parents stay together: a parent of k inner children keeps
+   each of them with a chance of 0.9 / k, of 0.8 at most, so fragments are small on average whatever
+   the tree's shape and no fragment is hot; pointers doubled ``HOPS`` times give every node its
+   fragment's top, by which the nodes are spread over partitions,
 3. follows the chains inside each partition, vectorised, up to the node where they leave it
    (the fragment's exit), end in a root or close into a cycle,
 4. keeps only those nodes that are the exit of some other fragment - the quotient forest - and
@@ -29,6 +31,8 @@ from quernstone.session import cut
 
 ROOT, CYCLE, TO_CYCLE, EXIT = "root", "cycle", "to_cycle", "exit"
 CYCLE_ROOT = "(cycle)"
+HOPS = 3  #: doublings of the pointers to a fragment's top: up to 8 steps stay together
+KEPT, SPREAD = 0.8, 0.9  #: chance that an edge is kept, and the most children a parent keeps on average
 
 
 def chase(parent: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -122,11 +126,24 @@ def _mark(rows: DataFrame) -> DataFrame:
     return rows.select("node", "parent", "flag").mapInPandas(run, "node string")
 
 
+def _labels(inner: DataFrame, level: int) -> DataFrame:
+    """(node, label): the top of the run of kept edges above each node, at most 2 ** HOPS steps up."""
+    kids = inner.where("parent is not null").groupBy(F.col("parent").alias("p")).agg(F.count("*").alias("kids"))
+    chance = F.least(F.lit(KEPT), F.lit(SPREAD) / F.col("kids"))
+    coin = F.shiftrightunsigned(F.xxhash64("node", F.lit(level)), 11) / F.lit(float(1 << 53))
+    label = F.when(F.col("kids").isNotNull() & (coin < chance), F.col("parent")).otherwise(F.col("node"))
+    now = cut(inner.select("node", "parent").join(kids, F.col("parent") == F.col("p"), "left").select("node", label.alias("label")))
+    for _ in range(HOPS):
+        up = now.select(F.col("node").alias("x"), F.col("label").alias("top"))
+        now = cut(now.join(up, F.col("label") == F.col("x")).select("node", F.col("top").alias("label")))
+    return now
+
+
 def _bad(kind) -> F.Column:
     return kind.isin(CYCLE, TO_CYCLE)
 
 
-def _solve(edges: DataFrame, level: int, paths: bool, base_rows: int, part_rows: int, few: int) -> DataFrame:
+def _solve(edges: DataFrame, level: int, paths: bool, base_rows: int, part_rows: int) -> DataFrame:
     """edges(node, parent, steps, term_root, term_kind, seg) -> (node, root, depth, kind, seg)."""
     n = edges.count()
     if level > 80:
@@ -135,14 +152,10 @@ def _solve(edges: DataFrame, level: int, paths: bool, base_rows: int, part_rows:
         one = _contracted(edges.withColumn("label", F.lit("")).repartition(1), paths)
         return one.select("node", F.col("to").alias("root"), F.col("steps").alias("depth"), "kind", "seg")
 
-    kids = edges.where("parent is not null").groupBy(F.col("parent").alias("p")).agg(F.count("*").alias("kids"))
-    inner = edges.join(kids, F.col("node") == F.col("p")).drop("p")
-    size = inner.select(F.col("node").alias("q"), F.col("kids").alias("parent_kids"))
-    coin = lambda c: F.pmod(F.xxhash64(c, F.lit(level)), F.lit(2)) == 1
-    mate = coin(F.col("node")) & ~coin(F.col("parent")) & (F.col("parent_kids") <= few)
-    inner = inner.join(size, F.col("parent") == F.col("q"), "left").withColumn("label", F.when(mate, F.col("parent")).otherwise(F.col("node")))
-    parts = max(2, -(-n // part_rows))
-    local = cut(_contracted(inner.repartition(parts, "label"), paths))
+    kids = edges.where("parent is not null").select(F.col("parent").alias("p")).distinct()
+    inner = cut(edges.join(kids, F.col("node") == F.col("p"), "left_semi"))
+    parts = max(edges.sparkSession.sparkContext.defaultParallelism, -(-n // part_rows))
+    local = cut(_contracted(inner.join(_labels(inner, level), "node").repartition(parts, "label"), paths))
 
     exits = local.where(F.col("kind") == EXIT).select(F.col("to").alias("q")).distinct()
     last = F.col("kind") == EXIT
@@ -152,7 +165,7 @@ def _solve(edges: DataFrame, level: int, paths: bool, base_rows: int, part_rows:
             F.when(~last, F.col("to")).alias("term_root"), F.when(~last, F.col("kind")).alias("term_kind"), "seg",
         )
     )
-    solved = cut(_solve(quotient, level + 1, paths, base_rows, part_rows, few))
+    solved = cut(_solve(quotient, level + 1, paths, base_rows, part_rows))
     s = solved.select(F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("depth").alias("x_depth"), F.col("kind").alias("x_kind"), F.col("seg").alias("x_seg"))
     went = F.col("kind") == EXIT
     through = local.join(s, went & (F.col("to") == F.col("x")), "left").select(
@@ -185,7 +198,7 @@ def _solve(edges: DataFrame, level: int, paths: bool, base_rows: int, part_rows:
     return through.unionByName(hung)
 
 
-def hierarchy(nodes: DataFrame, paths: bool = False, base_rows: int = 150_000, part_rows: int = 100_000, few: int = 8) -> DataFrame:
+def hierarchy(nodes: DataFrame, paths: bool = False, base_rows: int = 2_000, part_rows: int = 100_000) -> DataFrame:
     """Root, depth and path of every node.
 
     ``nodes``: (node, parent), ``node`` unique and not null; other columns are ignored. Returns
@@ -200,12 +213,12 @@ def hierarchy(nodes: DataFrame, paths: bool = False, base_rows: int = 150_000, p
 
     base_rows: a quotient forest of at most that many nodes is solved in one task; the table itself
     is contracted at any size.
-    part_rows: nodes of a partition. few: parents with more children are never mates.
+    part_rows: nodes of a partition.
     """
     nodes = cut(nodes.select("node", "parent"))
     known = nodes.join(nodes.select(F.col("parent").alias("p")).where("p is not null").distinct(), F.col("node") == F.col("p"), "left_semi").select(F.col("node").alias("p"))
     edges = _edges(nodes.join(known, F.col("parent") == F.col("p"), "left").select("node", F.col("p").alias("parent")), paths)
-    out = _solve(edges, 0, paths, base_rows, part_rows, few)
+    out = _solve(edges, 0, paths, base_rows, part_rows)
     if paths:
         out = cut(out)
     bad = _bad(F.col("kind"))
@@ -219,7 +232,7 @@ def hierarchy(nodes: DataFrame, paths: bool = False, base_rows: int = 150_000, p
     ).join(edges.select("node", "parent"), "node")
     if not paths:
         return tree.select("node", "root", "depth", "kind", "path", none.alias("chain"), "parent")
-    tails = _tails(out, edges, base_rows, part_rows, few)
+    tails = _tails(out, edges, base_rows, part_rows)
     if tails is None:
         return tree.select("node", "root", "depth", "kind", "path", F.col("path").alias("chain"), "parent")
     return tree.join(tails, "node", "left").select("node", "root", "depth", "kind", "path", F.coalesce("tail", "path").alias("chain"), "parent")
@@ -239,7 +252,7 @@ def _edges(nodes: DataFrame, paths: bool) -> DataFrame:
     )
 
 
-def _tails(solved: DataFrame, edges: DataFrame, base_rows: int, part_rows: int, few: int) -> DataFrame | None:
+def _tails(solved: DataFrame, edges: DataFrame, base_rows: int, part_rows: int) -> DataFrame | None:
     """(node, tail) of the nodes that lead into a cycle, tail running from the cycle's node to them.
 
     With the parents of its cycles' nodes taken away, what is left of the cyclic chains is a forest.
@@ -249,7 +262,7 @@ def _tails(solved: DataFrame, edges: DataFrame, base_rows: int, part_rows: int,
         return None
     up = F.when(F.col("kind") == TO_CYCLE, F.col("parent")).alias("parent")
     forest = _edges(bad.join(edges.select("node", "parent"), "node").select("node", up), True)
-    return cut(_solve(forest, 0, True, base_rows, part_rows, few).select("node", F.reverse("seg").alias("tail")))
+    return cut(_solve(forest, 0, True, base_rows, part_rows).select("node", F.reverse("seg").alias("tail")))
 
 
 def rings(cycles: DataFrame) -> DataFrame:

@@ -33,10 +33,10 @@ FROM fin f JOIN edge e ON f.tab = e.tab AND f.k = e.k JOIN edge r ON f.tab = r.t
     "p1_paths": _TREE
     + """SELECT tab, k AS node,
   CAST(CASE WHEN looped AND cur = k THEN -1 WHEN looped THEN -2 ELSE steps END AS INT) AS depth,
-  CASE WHEN looped THEN k ELSE array_to_string(list_reverse(trail), ' > ') END AS path FROM fin""",
+  array_to_string(list_reverse(CASE WHEN looped THEN trail[1:list_position(trail, cur)] ELSE trail END), ' > ') AS path FROM fin""",
     "p1_descendants": _TREE
     + """SELECT w.tab, w.cur AS ancestor, w.k AS descendant, CAST(w.steps AS INT) AS distance
-FROM walk w JOIN fin f ON w.tab = f.tab AND w.k = f.k WHERE w.steps > 0 AND NOT f.looped""",
+FROM walk w WHERE w.steps > 0 AND NOT w.looped""",
 }
 
 _MISS = f"""

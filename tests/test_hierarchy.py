@@ -120,3 +120,23 @@ def test_the_table_itself_is_never_solved_in_one_task(spark, monkeypatch):
     df = spark.createDataFrame(list(parent.items()), "node string, parent string")
     assert {r.node: (r.root, r.depth) for r in hierarchy(df).collect()} == {n: v[:2] for n, v in brute(parent).items()}
     assert levels == [0, 1]
+
+
+@pytest.mark.parametrize("kind", ["chain", "random"])
+def test_every_level_is_less_than_six_tenths_of_the_one_before(spark, monkeypatch, kind):
+    from quernstone.operators import hierarchy as h
+
+    parent, sizes, solve = forest(kind, 3000, 5), [], h._solve
+    monkeypatch.setattr(h, "_solve", lambda edges, level, *a: sizes.append(edges.count()) or solve(edges, level, *a))
+    df = spark.createDataFrame(list(parent.items()), "node string, parent string")
+    assert {r.node: (r.root, r.depth) for r in hierarchy(df, base_rows=200).collect()} == {n: v[:2] for n, v in brute(parent).items()}
+    assert len(sizes) > 2 and all(b < 0.6 * a for a, b in zip(sizes, sizes[1:], strict=False))
+
+
+def test_no_fragment_is_hot(spark):
+    from quernstone.operators import hierarchy as h
+
+    rows = [(f"h{i}", "top") for i in range(2000)] + [(f"l{i}", f"h{i}") for i in range(2000)] + [("top", None)]
+    rows += [(f"z{i}", f"l{i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "node string, parent string")
+    assert max(r["count"] for r in h._labels(df.where("node not like 'z%'"), 0).groupBy("label").count().collect()) < 60
