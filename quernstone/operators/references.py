@@ -1,9 +1,10 @@
 """References to records that are missing, deleted or late.
 
-Keys live on the ring of 64-bit hashes. The ring is cut into ranges of about equal reference
-counts; a range that one hot key fills is given several slots and its parents are copied to each.
-In every slot the parents form sorted arrays and the references, streamed as Arrow batches, are
-found in them by binary search. Only misses leave the slot.
+Keys live on the ring of 64-bit hashes, which is cut into equal ranges; as hashes are uniform, the
+ranges hold about equal numbers of keys at any fineness. Only a key that has more references than a
+slot should get gets slots of its own, and only that key's parents are copied to them. In every slot
+the parents form sorted arrays and the references, streamed as Arrow batches, are found in them by
+binary search. Only misses leave the slot.
 """
 
 from __future__ import annotations
@@ -13,34 +14,32 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.keys import key, month
 
-FINE_BITS = 12
-PLANNED_SLOTS = 50_000  #: up to so many slots the plan of partitions is broadcast
+#: Slots of ordinary keys, and slots' worth of references that hot keys may have: bounds of the number of partitions and
+#: of the table of hot keys. Beyond them the slots grow; references are streamed, so only their parents must fit.
+MOST_SLOTS = 50_000
+SEEN = 500  #: references of a key of ``target`` rows that the search for hot keys sees on average
 MISSING, LATE, DELETED = "missing", "late", "deleted"
 
 _OUT = "tab string, rec_id bigint, field string, ref_key string, kind string, month int"
 _SCHEMA = pa.schema([("tab", pa.string()), ("rec_id", pa.int64()), ("field", pa.string()), ("ref_key", pa.string()), ("kind", pa.string()), ("month", pa.int32())])
 
 
-def cuts(counts: dict[int, int], target: int) -> list[tuple[int, int, int]]:
-    """(fine bucket, first slot, slots): neighbours share a slot up to ``target`` references, a fuller bucket gets several."""
-    out, slot, load = [], 0, 0
-    for b in range(1 << FINE_BITS):
-        n = counts.get(b, 0)
-        if load and load + n > target:
-            slot, load = slot + 1, 0
-        if n > target:
-            many = -(-n // target)
-            out.append((b, slot, many))
-            slot += many
-        else:
-            out.append((b, slot, 1))
-            load += n
-    return out
+def hot_keys(refs: DataFrame, target: int) -> list[tuple[int, int]]:
+    """(h, references) of the keys with more than ``target`` references, about.
+
+    Counted over one of every target / SEEN rows, chosen by hash, so a key of that many rows is seen
+    some SEEN times; at most rows / target * 1.25 keys come out. Whether a key close to the bound
+    is found changes the size of slots alone, never the result.
+    """
+    every = max(1, target // SEEN)
+    some = refs.where(F.pmod(F.xxhash64("rec_id", "tab", "field", F.lit(23)), F.lit(every)) == 0)
+    counts = some.groupBy("h").agg((F.count("*") * every).alias("n")).where(F.col("n") > 0.8 * target)
+    return [(r.h, r.n) for r in counts.orderBy("h").collect()]
 
 
 class _Parents:
@@ -109,7 +108,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([bad.column("tab"), bad.column("rec_id"), bad.column("field"), bad.column("raw"), kinds.take(pa.array(kind[miss.to_numpy()])), bad.column("m")], schema=_SCHEMA)
 
 
-def orphans(references: DataFrame, parents: DataFrame, target: int = 200_000) -> DataFrame:
+def orphans(references: DataFrame, parents: DataFrame, target: int = 200_000, parent_rows: int = 1_000_000) -> DataFrame:
     """Every reference whose parent is missing, late or deleted: (tab, rec_id, field, ref_key, kind, month).
 
     references: (tab, rec_id, field, to, ref, loaded_at), ``to`` naming the table referred to and
@@ -120,49 +119,40 @@ def orphans(references: DataFrame, parents: DataFrame, target: int = 200_000) ->
     come in; empty tables give an empty result, or all references as missing. Other columns are
     ignored.
 
-    target: references of one slot; the counts of 4096 hash buckets are all that the driver sees.
+    target: references of one slot. parent_rows: parent rows of one slot, which are held in memory.
+    The driver sees two row counts and the hot keys, at most 1.25 * MOST_SLOTS of them.
     """
     spark = references.sparkSession
     hashed = lambda k: F.xxhash64(F.col("to"), k)
-    fine = F.shiftrightunsigned(F.col("h"), 64 - FINE_BITS).cast("int")
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     references = references.select("tab", "rec_id", "field", "to", "ref", "loaded_at")
     parents = parents.select("to", "key", "rec_id", "loaded_at", "deleted_at")
-    refs = references.withColumn("key", key(F.col("ref"))).where("key is not null").withColumn("h", hashed(F.col("key"))).withColumn("fine", fine)
-    olds = parents.withColumn("key", key(F.col("key"))).where("key is not null").withColumn("h", hashed(F.col("key"))).withColumn("fine", fine)
-
-    counts = {r.fine: r.n for r in refs.groupBy("fine").agg(F.count("*").alias("n")).collect()}  # at most 4096 rows
-    ranges = cuts(counts, target)
-    slots = ranges[-1][1] + ranges[-1][2]
-    map_ = F.broadcast(spark.createDataFrame(ranges, "fine int, slot int, many int"))  # 4096 rows
+    refs = references.withColumn("key", key(F.col("ref"))).where("key is not null").withColumn("h", hashed(F.col("key")))
+    olds = parents.withColumn("key", key(F.col("key"))).where("key is not null").withColumn("h", hashed(F.col("key")))
+
+    # keyless rows are counted too, so both counts come from the files alone where they can
+    n, m = references.count(), parents.count()
+    target = max(target, -(-n // MOST_SLOTS))
+    ranges = max(2, min(MOST_SLOTS, -(-n // target)), -(-m // parent_rows))
+    slot, hot = ranges, []
+    for h, k in hot_keys(refs, target):
+        many = -(-k // target)
+        hot.append((h, slot, many))
+        slot += many
+    hot_ = F.broadcast(spark.createDataFrame(hot, "h bigint, first int, many int"))  # at most 1.25 * MOST_SLOTS rows
+    range_ = F.least(F.floor((F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))) * ranges).cast("int"), F.lit(ranges - 1))
     left = (
-        olds.join(map_, "fine")
-        .withColumn("slot", F.explode(F.sequence("slot", F.col("slot") + F.col("many") - 1)))
+        olds.join(hot_, "h", "left")
+        .withColumn("slot", F.explode(F.when(F.col("first").isNull(), F.array(range_)).otherwise(F.sequence("first", F.col("first") + F.col("many") - 1))))
         .select("slot", F.lit(0).cast("tinyint").alias("side"), "h", "key", F.lit(None).cast("string").alias("tab"), "rec_id", F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("raw"), F.coalesce(month(F.col("loaded_at")), F.lit(0)).alias("m"), F.coalesce(us("loaded_at"), F.lit(-(1 << 62))).alias("us"), us("deleted_at").alias("dead"))
     )
-    right = refs.join(map_, "fine").select(
-        (F.col("slot") + F.pmod(F.xxhash64("rec_id"), F.col("many")).cast("int")).alias("slot"), F.lit(1).cast("tinyint").alias("side"), "h", "key", "tab", "rec_id", "field",
+    own = F.col("first") + F.pmod(F.xxhash64("rec_id"), F.col("many")).cast("int")
+    right = refs.join(hot_, "h", "left").select(
+        F.when(F.col("first").isNull(), range_).otherwise(own).alias("slot"), F.lit(1).cast("tinyint").alias("side"), "h", "key", "tab", "rec_id", "field",
         F.col("ref").alias("raw"), F.coalesce(month(F.col("loaded_at")), F.lit(-1)).alias("m"), F.coalesce(us("loaded_at"), F.lit(-(1 << 62))).alias("us"), F.lit(None).cast("bigint").alias("dead"),
     )
-    both = left.unionByName(right)
-    n = max(slots, 2)
-    if n <= PLANNED_SLOTS:  # every slot gets a partition of its own; hashed slots would share some and leave others empty
-        both = both.join(F.broadcast(own_partition(spark, n)), "slot")
-        both = both.repartition(n, "part_key")
-    else:
-        both = both.withColumn("part_key", F.col("slot")).repartition(n, "part_key")
-    return both.drop("slot", "part_key").sortWithinPartitions("side").mapInArrow(_probe, _OUT)
-
-
-def own_partition(spark: SparkSession, n: int) -> DataFrame:
-    """(slot, part_key): numbers that Spark's hash partitioning puts into ``n`` different partitions.
-
-    Among 16 n numbers nearly every partition has one; the slots of those that have none double up.
-    """
-    ids = spark.range(16 * n).select(F.col("id").cast("int").alias("part_key"))
-    found = ids.groupBy(F.pmod(F.hash("part_key"), F.lit(n)).cast("int").alias("slot")).agg(F.min("part_key").alias("part_key"))
-    every = spark.range(n).select(F.col("id").cast("int").alias("slot"))
-    return every.join(found, "slot", "left").select("slot", F.coalesce("part_key", "slot").alias("part_key"))
+    laid = left.unionByName(right).repartitionById(slot, "slot").drop("slot")  # a partition for every slot
+    return laid.sortWithinPartitions("side").mapInArrow(_probe, _OUT)
 
 
 def report(misses: DataFrame) -> DataFrame:

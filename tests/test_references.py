@@ -57,15 +57,30 @@ def test_report(spark):
     assert {(r.month, r.kind, r.n_refs) for r in rf.report(misses).collect()} == {("2023-12", "missing", 1), (None, "missing", 1)}
 
 
-def test_cuts_give_a_full_bucket_several_slots():
-    got = rf.cuts({0: 10, 1: 95, 2: 5}, 20)
-    assert got[0] == (0, 0, 1) and got[1][2] == 5 and got[2][1] >= got[1][1] + 5
+def laid_parents(monkeypatch, refs, parents, target):
+    """Parent rows and partitions that reach the probe."""
+    from pyspark.sql import functions as F
 
+    seen, kind = [], type(refs)
+    by_id = kind.repartitionById
+    monkeypatch.setattr(kind, "repartitionById", lambda df, n, c: seen.append((df, n)) or by_id(df, n, c))
+    rf.orphans(refs, parents, target=target)
+    df, n = seen[0]
+    return df.where("side = 0").count(), n, [r["count"] for r in df.where("side = 1").groupBy(F.col("slot")).count().collect()]
+
+
+def test_parents_are_copied_for_hot_keys_alone(spark, monkeypatch):
+    t = datetime(2023, 5, 1)
+    parents = spark.createDataFrame([("a", f"k{i}", i, t, None) for i in range(3000)], P)
+    refs = spark.createDataFrame([("x", i, "f", "a", "k7" if i % 3 == 0 else f"k{i % 3000}", t) for i in range(9000)], R)
+    copies, parts, load = laid_parents(monkeypatch, refs, parents, 100)
+    hot = -(-3001 // 100)
+    assert copies <= 3000 + hot and 90 + hot - 2 <= parts <= 90 + hot + 2
+    assert max(load) < 250
 
-def test_slots_get_partitions_of_their_own(spark):
-    from pyspark.sql import functions as F
 
-    keys = rf.own_partition(spark, 40)
-    assert keys.count() == 40
-    parts = keys.repartition(40, "part_key").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert parts >= 38
+def test_without_hot_keys_no_parent_is_copied(spark, monkeypatch):
+    t = datetime(2023, 5, 1)
+    parents = spark.createDataFrame([("a", f"k{i}", i, t, None) for i in range(500)], P)
+    refs = spark.createDataFrame([("x", i, "f", "a", f"k{i % 500}", t) for i in range(2000)], R)
+    assert laid_parents(monkeypatch, refs, parents, 40)[0] == 500
