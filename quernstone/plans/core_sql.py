@@ -63,7 +63,7 @@ SQL["p2_report"] = _MISS + "SELECT tab, field, kind, strftime(loaded_at, '%Y-%m'
 _VALUE = r"""'"(?:[^"]|"")*"|''F\d\d\.[^'']*''|F\d\d\.[^$|;,/\n\t"\[\]]+'"""
 _REFS = r"""'https?://[^\s£|;,"Â]+|doc:[A-Za-z]{2}-\d+'"""
 _GAPS = r"""'[\s£Â|;,"]+$'"""
-SQL["p3_found"] = f"""
+_P3 = f"""
 WITH f AS (
   SELECT rec_id, 'allFacets' AS field, unnest(attrs['allFacets']) AS s, generate_subscripts(attrs['allFacets'], 1) AS i FROM terms
   UNION ALL SELECT rec_id, 'implicitFacets', unnest(attrs['implicitFacets']), generate_subscripts(attrs['implicitFacets'], 1) FROM terms),
@@ -75,9 +75,14 @@ q AS (SELECT rec_id, refs, trim(CASE WHEN t[1] = '"' THEN replace(regexp_extract
 every AS (
   SELECT rec_id, field, i, j, trim(CASE WHEN raw[1] = '"' THEN replace(raw[2:-2], '""', '"') WHEN raw[1] = '''' THEN raw[2:-2] ELSE raw END) AS value FROM v
   UNION ALL SELECT rec_id, 'termScopeNote', 0, 0, note FROM q WHERE note <> ''
-  UNION ALL SELECT rec_id, 'termScopeNote', 1, generate_subscripts(refs, 1), unnest(refs) FROM q),
+  UNION ALL SELECT rec_id, 'termScopeNote', 1, generate_subscripts(refs, 1), unnest(refs) FROM q)"""
+SQL["p3_found"] = _P3 + """,
 numbered AS (SELECT rec_id, field, CAST(row_number() OVER (PARTITION BY rec_id, field ORDER BY i, j) AS INT) AS pos, value, count(*) OVER (PARTITION BY rec_id, field) AS k FROM every WHERE value <> '')
 SELECT rec_id, field, pos, value FROM numbered WHERE k >= 2"""
+# quotes that open a value and are never closed are what is left once all closed ones are taken out
+SQL["p3_flags"] = _P3 + f""",
+stray AS (SELECT field, sum(len(regexp_extract_all(regexp_replace(s, {_VALUE}, '', 'g'), '(?:^|[$|;,/\\s])["'']'))) AS n FROM f WHERE regexp_matches(s, 'F\\d\\d[.]') GROUP BY field)
+SELECT field, count(*) AS n_values, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_flagged FROM every LEFT JOIN stray USING (field) WHERE value <> '' GROUP BY field"""
 
 
 def _p4() -> str:

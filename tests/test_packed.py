@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quernstone.operators.packed import facets, note, unpack
+from quernstone.operators.packed import facets, note, separated, unpack
 
 texts = lambda vs: [v.text for v in vs]
 
@@ -89,3 +89,62 @@ def test_unpack_counts_through_the_array(spark):
 )
 def test_brackets_of_a_value_stay_with_it(text, want):
     assert texts(facets(text)) == want
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("a;b;c", ["a", "b", "c"]),
+        ("(F01.a; F02.b)|F03.c", ["F01.a", "F02.b", "F03.c"]),
+        ("X#F01.a [x; F02.b] y$F03.c", ["F01.a [x; F02.b] y", "F03.c"]),
+        ("F01.a (cut; sliced)$F02.b", ["F01.a (cut; sliced)", "F02.b"]),
+        ("[[F01.a]; [F02.b]]", ["F01.a", "F02.b"]),
+    ],
+)
+def test_brackets_and_values_of_any_form(text, want):
+    assert texts(facets(text)) == want
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("red; \"green; dark\" | blue", ["red", "green; dark", "blue"]),
+        ("(red; green) | blue", ["red", "green", "blue"]),
+        ("2 (two; 2) ; [2,4-D] acid", ["2 (two; 2)", "[2,4-D] acid"]),
+        ("rock'n'roll, it''s", ["rock'n'roll", "it''s"]),
+        ("only one", ["only one"]),
+        (")a(; b]", [")a(", "b]"]),
+        (None, []),
+        (";;|", []),
+    ],
+)
+def test_free_values(text, want):
+    assert texts(separated(text)) == want
+
+
+def test_unclosed_brackets_are_flagged():
+    got = facets("[F01.a, F02.b")
+    assert texts(got) == ["F01.a", "F02.b"] and got[0].flag == "bracket" and got[1].flag is None
+
+
+@pytest.mark.parametrize("make", [
+    lambda n: (note, "A note; " + "; ".join(f"http://a.b/{i}" for i in range(n))),
+    lambda n: (facets, "F01.a" + ";" * n + "x"),
+    lambda n: (facets, "F01.a" + "[" * n + "$F02.b"),
+    lambda n: (facets, "[" * n + "F01.a" + "]" * n),
+    lambda n: (facets, "$".join(f"F01.v {i}" for i in range(n))),
+    lambda n: (note, "a" + " ;" * n + "b"),
+])
+def test_long_texts_take_linear_time(make):
+    import time
+
+    def took(n):
+        f, text = make(n)
+        best = 9.0
+        for _ in range(3):
+            began = time.perf_counter()
+            f(text)
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    assert took(32_000) < 12 * max(took(8_000), 0.002)  # sixteen times if quadratic
