@@ -104,7 +104,7 @@ def p3_flags(spark: SparkSession, d: str) -> DataFrame:
 def p4_parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(amounts, pairs, vocabulary, unit table)."""
     units = table(spark, d, "units")
-    codes = [r[0] for r in un.fixed(units)[["unit_code"]].itertuples(index=False)]
+    fixed = un.fixed(units)
     ex = table(spark, d, "exchanges").select("rec_id", "flow", "flow_name", "amount", "unit").where("amount is not null")
     amounts = ex.select(
         F.lit("exchanges").alias("tab"), "rec_id", key(F.col("flow")).alias("entity"), "amount", "unit",
@@ -113,7 +113,7 @@ def p4_parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFra
     pairs = table(spark, d, "crosswalk").select(
         F.lit("crosswalk").alias("tab"), "rec_id", un.said(F.col("source_unit")).alias("a"), un.said(F.col("target_unit")).alias("b"), F.col("unit_conversion").alias("factor")
     )
-    entity = un.links_by_entity(amounts, codes)
+    entity = un.links_by_entity(amounts, list(fixed["unit_code"]), bool((fixed["offset"] != 0).any()))
     links = cut(entity.unionByName(un.links_by_factor(pairs)))
     spellings = amounts.select("spelling").distinct().unionByName(pairs.select(F.explode(F.array("a", "b")).alias("spelling")).distinct())
     return amounts, pairs, un.vocabulary(spellings, links, units), units
@@ -126,8 +126,13 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_units(spark: SparkSession, d: str) -> DataFrame:
-    """What every spelling of a unit was taken for, and on what ground."""
-    return p4_parts(spark, d)[2]
+    """What every spelling of a unit was taken for."""
+    return p4_parts(spark, d)[2].select("spelling", "multiplier", "unit_code")
+
+
+def p4_grounds(spark: SparkSession, d: str) -> DataFrame:
+    """How many spellings were taken for a unit on what ground."""
+    return p4_parts(spark, d)[2].groupBy("how").agg(F.count("*").alias("n_spellings"))
 
 
 QUERIES = {
@@ -140,4 +145,5 @@ QUERIES = {
     "p3_flags": p3_flags,
     "p4_found": p4_found,
     "p4_units": p4_units,
+    "p4_grounds": p4_grounds,
 }

@@ -85,13 +85,25 @@ stray AS (SELECT field, sum(len(regexp_extract_all(regexp_replace(s, {_VALUE}, '
 SELECT field, count(*) AS n_values, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_flagged FROM every LEFT JOIN stray USING (field) WHERE value <> '' GROUP BY field"""
 
 
-def _p4() -> str:
-    """Units by words alone: an independent way to what the graph of spellings finds on these data."""
-    from quernstone.functions import spelling as sp
+#: Spellings and what they mean, written out for the check alone: letters and digits only, in lower case.
+_UNIT_FORMS = {
+    "kg": "kg kgs kilogram kilogramm kilogramme kilograms", "g": "g gr gram gramm grams", "mg": "mg milligram milligramm milligrams", "ug": "ug mcg microgram",
+    "t": "t to tonne tonnes metricton", "kt": "kt kilotonne kilotonnes", "lb": "lb lbs pound pounds",
+    "MJ": "mj megajoule megajoules", "kJ": "kj kilojoule kilojoules", "GJ": "gj gigajoule", "TJ": "tj terajoule", "Wh": "wh watthour", "kWh": "kwh kilowatthour kilowattstunde", "MWh": "mwh megawatthour megawattstunde", "kcal": "kcal kilocalorie kilocalories",
+    "m3": "m3 cbm cubicmeter cubicmetre kubikmeter metrecube", "l": "l dm3 liter litre litres ltr", "ml": "ml milliliter millilitre", "hl": "hl hectolitre hektoliter", "cm3": "cm3 ccm cubiccentimetre",
+    "m": "m meter metre metres", "km": "km kilometer kilometre", "cm": "cm centimeter centimetre", "mi": "mi mile miles",
+    "m2": "m2 quadratmeter sqm squaremeter squaremetre", "ha": "ha hectare hectares hektar", "km2": "km2 sqkm squarekilometre", "cm2": "cm2 sqcm squarecentimeter",
+    "tkm": "tkm tonkm tonnekilometre tonnenkilometer", "kgkm": "kgkm", "kBq": "kbq kilobecquerel", "Bq": "bq becquerel", "MBq": "mbq megabecquerel",
+    "m2a": "m2a m2year squaremetreyear", "haa": "haa hayear", "h": "h hr hrs hour hours stunde", "min": "min minute minuten minutes", "d": "d day days tag",
+    "unit": "unit units p pcs pce piece item items stuck", "doz": "doz dozen dutzend",
+}
+_POWERS = {"hundred": 100, "hundert": 100, "thousand": 1000, "tausend": 1000, "tsd": 1000, "mille": 1000, "million": 1e6, "mio": 1e6, "billion": 1e9, "mrd": 1e9}
 
-    codes = "SELECT unit_code AS code, unit_name AS name FROM units"
-    words = ", ".join(f"('{sp.compact(w)}', '{c}')" for c, ws in sp.WORDS.items() for w in ws)
-    powers = ", ".join(f"('{w}', {v:g})" for w, v in sp.MULTIPLIER_WORDS.items())
+
+def _p4() -> tuple[str, str]:
+    """Units by words alone, from a list of its own; the engine's way needs no words for most spellings."""
+    words = ", ".join(f"('{w}', '{c}')" for c, ws in _UNIT_FORMS.items() for w in ws.split())
+    powers = ", ".join(f"('{w}', {v:g})" for w, v in _POWERS.items())
     nothing = "('', 'nan', 'none', '<na>', 'n/a', 'na', 'n.a.', 'null', 'unknown')"
     said = lambda c: f"CASE WHEN lower(trim({c})) NOT IN {nothing} AND regexp_matches({c}, '\\pL') THEN {c} END"
     pattern = r"'(?:\[([^\[\]]{1,40})\]|\(((?:[^()]|\([^()]*\)){1,40})\)|(?:,\s+in|,\s+per|;\s*unit:|\samount in)\s+((?:[^,;\[\]()]|\([^()]*\)){1,40}))\s*$'"
@@ -102,10 +114,10 @@ def _p4() -> str:
     for good, bads in signs.items():
         for bad in sorted(bads, key=len, reverse=True):
             fixed = f"replace({fixed}, '{bad}', '{good}')"
-    return f"""
-WITH cc AS ({codes}),
+    vocabulary = f"""
+WITH cc AS (SELECT unit_code AS code, unit_name AS name FROM units),
 low AS (SELECT *, trim(regexp_replace({fixed}, '\\s+', ' ', 'g')) AS s FROM (SELECT DISTINCT txt FROM (
-  SELECT coalesce({said('unit')}, {named}) AS txt FROM exchanges UNION ALL SELECT source_unit FROM crosswalk UNION ALL SELECT target_unit FROM crosswalk) WHERE txt IS NOT NULL)),
+  SELECT coalesce({said('unit')}, {named}) AS txt FROM exchanges WHERE amount IS NOT NULL UNION ALL SELECT {said('source_unit')} FROM crosswalk UNION ALL SELECT {said('target_unit')} FROM crosswalk) WHERE txt IS NOT NULL)),
 num AS (SELECT *,
   regexp_extract(s, '^10(?:\\^)?([⁰¹²³⁴⁵⁶⁷⁸⁹⁻]+|\\^-?[0-9]+) *(.+)$', 1) AS up, regexp_extract(s, '^([0-9]+(?:''[0-9]+)*(?:[.][0-9]+)?)(?:[eE](-?[0-9]+))? *([^0-9 ^⁰¹²³⁴⁵⁶⁷⁸⁹].*)$', 1) AS n,
   regexp_extract(s, '^([0-9]+(?:''[0-9]+)*(?:[.][0-9]+)?)(?:[eE](-?[0-9]+))? *([^0-9 ^⁰¹²³⁴⁵⁶⁷⁸⁹].*)$', 2) AS e, split_part(s, ' ', 1) AS head FROM low),
@@ -116,15 +128,16 @@ base AS (SELECT txt,
   CASE WHEN regexp_matches(s, '^10\\^-?[0-9]+ |^10[⁰¹²³⁴⁵⁶⁷⁸⁹⁻]+ ') THEN regexp_replace(s, '^[^ ]+ ', '') WHEN n <> '' THEN regexp_replace(s, '^[0-9''.]+(?:[eE]-?[0-9]+)? *', '') WHEN v IS NOT NULL THEN substr(s, length(head) + 2) ELSE s END AS b
   FROM num LEFT JOIN pw ON lower(rtrim(head, '.')) = w AND s <> head),
 form AS (SELECT *, regexp_replace(lower(strip_accents(translate(b, '²³µμ', '23uu'))), '[^a-z0-9]', '', 'g') AS f FROM base WHERE NOT regexp_matches(b, '[?�]')),
-lex AS (SELECT f, min(code) AS code FROM (
-  SELECT regexp_replace(lower(x), '[^a-z0-9]', '', 'g') AS f, code FROM (SELECT unnest([code, name, name || 's', replace(name, 'metre', 'meter'), replace(name, 'litre', 'liter'), replace(name, 'metre', 'meter') || 's', replace(name, 'litre', 'liter') || 's']) AS x, code FROM cc)
-  UNION SELECT f, code FROM (VALUES {words}) AS t(f, code) UNION SELECT f || 's', code FROM (VALUES {words}) AS t(f, code)) GROUP BY f HAVING count(DISTINCT code) = 1),
-voc AS (SELECT txt, mult, u.* FROM (SELECT txt, mult, coalesce(x.code, CASE trim(b, ' .') WHEN 'Mg' THEN 't' END, lex.code) AS code FROM form LEFT JOIN cc x ON trim(b) = x.code LEFT JOIN lex USING (f)) JOIN units u ON code = u.unit_code),
+lex AS (SELECT * FROM (VALUES {words}) AS t(f, code)),
+told AS (SELECT txt, mult, coalesce(x.code, CASE rtrim(trim(b), '.') WHEN 'Mg' THEN 't' WHEN 'Gg' THEN 'kt' END, lex.code, bare.code) AS code FROM (SELECT *, regexp_replace(lower(strip_accents(translate(regexp_replace(b, '\\(.*?\\)', ''), '²³µμ', '23uu'))), '[^a-z0-9]', '', 'g') AS g FROM form) form LEFT JOIN cc x ON trim(b) = x.code LEFT JOIN lex USING (f) LEFT JOIN lex bare ON bare.f = g)"""
+    rows = f""",
+voc AS (SELECT txt, mult, u.* FROM told JOIN units u ON code = u.unit_code),
 ex AS (SELECT rec_id, amount, unit, coalesce({said('unit')}, {named}) AS txt FROM exchanges WHERE amount IS NOT NULL)
 SELECT 'exchanges' AS tab, rec_id, common_unit AS unit, printf('%.4e', amount * mult * factor) AS value FROM ex JOIN voc USING (txt) WHERE unit IS DISTINCT FROM common_unit
 UNION ALL
 SELECT 'crosswalk', c.rec_id, b.unit_code, printf('%.4e', (a.mult * a.factor) / (b.mult * b.factor)) FROM crosswalk c JOIN voc a ON c.source_unit = a.txt JOIN voc b ON c.target_unit = b.txt
 WHERE a.quantity = b.quantity AND (unit_conversion IS NULL OR abs(unit_conversion - (a.mult * a.factor) / (b.mult * b.factor)) > 0.01 * (a.mult * a.factor) / (b.mult * b.factor))"""
+    return vocabulary + rows, vocabulary + " SELECT txt AS spelling, mult AS multiplier, code AS unit_code FROM told"
 
 
-SQL["p4_found"] = _p4()
+SQL["p4_found"], SQL["p4_units"] = _p4()

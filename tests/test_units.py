@@ -75,3 +75,47 @@ def test_empty_tables(spark, units):
     vocab = un.vocabulary(none.select("spelling"), un.links_by_entity(none, ["kg"]), units)
     assert vocab.count() == 0
     assert math.isclose(un.fixed(units)["factor"].max(), 1e3)
+
+
+def test_scale_and_offset_are_estimated_and_snapped(spark):
+    rows = [("K", "kelvin", "temperature", "K", 1.0, 0.0), ("degC", "degree celsius", "temperature", "K", 1.0, 273.15), ("degF", "degree fahrenheit", "temperature", "K", 5 / 9, 255.3722222), ("kg", "kilogram", "mass", "kg", 1.0, None), ("g", "gram", "mass", "kg", 1e-3, None)]
+    table = spark.createDataFrame(rows, "unit_code string, unit_name string, quantity string, common_unit string, factor double, offset double")
+    r = random.Random(6)
+    data = []
+    for f in range(200):
+        kelvin = r.uniform(240, 400)
+        for unit, turn in (("K", lambda k: k), ("warmth", lambda k: k - 273.15), ("heat", lambda k: (k - 255.3722222) * 9 / 5), ("10 warmth", lambda k: (k - 273.15) / 10)):
+            data += [(f"t{f}", unit, turn(kelvin + r.gauss(0, 0.5))) for _ in range(3)]
+        mass = 10 ** r.gauss(0, 1)
+        data += [(f"m{f}", unit, mass / by * 10 ** r.gauss(0, 0.3)) for unit, by in (("kg", 1.0), ("zork", 1e-3)) for _ in range(3)]
+    amounts = spark.createDataFrame(data, "entity string, spelling string, amount double")
+    links = un.links_by_entity(amounts, [u[0] for u in rows], offsets=True)
+    vocab = un.vocabulary(amounts.select("spelling"), links, table)
+    assert {x.spelling: x.unit_code for x in vocab.collect()} == {"K": "K", "warmth": "degC", "10 warmth": "degC", "heat": "degF", "kg": "kg", "zork": "g"}
+    one = spark.createDataFrame([("e", 1, 20.0, None, "warmth"), ("e", 2, -3.0, None, "10 warmth"), ("e", 3, 5.0, None, "zork")], "tab string, rec_id bigint, amount double, unit string, spelling string")
+    assert {x.rec_id: round(x.value, 6) for x in un.common_amounts(one, vocab, table).collect()} == {1: 293.15, 2: 243.15, 3: 0.005}
+    pairs = spark.createDataFrame([("c", 1, "warmth", "heat", 1.0)], "tab string, rec_id bigint, a string, b string, factor double")
+    assert un.wrong_factors(pairs, vocab, table).count() == 0
+
+
+def test_most_rows_are_told_without_the_words_of_half_the_spellings(spark, units):
+    """What the links say decides: a spelling without words is told from the flows it shares."""
+    r = random.Random(12)
+    spellings = {"kg": "kg", "Kilogramm": "kg", "kgs": "kg", "g": "g", "grams": "g", "Gramm": "g", "t": "t", "Tonnen": "t", "metric tons": "t", "mg": "mg", "milligrams": "mg", "1000 kilos": "kg", "1E3 kilos": "kg", "10^6 kilos": "kg"}
+    factor = {u[0]: u[4] for u in UNITS}
+    data = []
+    for f in range(300):
+        level = r.gauss(0, 1)
+        for name in r.sample(sorted(spellings), 6):
+            by = factor[spellings[name]] * sp.split_multiplier(name)[0]
+            data += [(f"f{f}", name, 10 ** (level + r.gauss(0, 0.5)) / by) for _ in range(2)]
+    amounts = spark.createDataFrame(data, "entity string, spelling string, amount double")
+    links = un.links_by_entity(amounts, [u[0] for u in UNITS])
+    hidden = ["Kilogramm", "grams", "Tonnen", "milligrams", "kilos", "metric tons"]
+    told = un.vocabulary(amounts.select("spelling"), links, units, lambda base, words, codes: [] if base in hidden else sp.suggested(base, words, codes))
+    got = {x.spelling: (x.unit_code, x.how) for x in told.collect()}
+    rows = {n: sum(d[1] == n for d in data) for n in spellings}
+    right = [n for n, c in spellings.items() if got[n][0] == c]
+    assert sum(rows[n] for n in right) >= 0.9 * len(data)
+    assert all(got[n][0] in (spellings[n], None) for n in spellings)
+    assert sum(got[n][1] == "scale" for n in spellings) >= 6
