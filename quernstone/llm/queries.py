@@ -69,15 +69,21 @@ def p8_shares_full(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
-    return abuse.scored(table(spark, d, "documents"))
+    docs = table(spark, d, "documents")
+    return abuse.scored(docs, abuse.fitted(docs, table(spark, d, "abuse_labels")))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_scores(spark, d).where(F.col("score") >= abuse.THRESHOLD).select("doc_id")
 
 
+def p9_held_out(spark: SparkSession, d: str) -> DataFrame:
+    """Recall and precision on the labels that were not learned from."""
+    return abuse.held_out(table(spark, d, "documents"), table(spark, d, "abuse_labels"), p9_scores(spark, d))
+
+
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(p9_scores(spark, d))
 
 
-QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p7_containers": p7_containers, "p7_fills": p7_fills, "p7_summary": p7_summary, "p8_mixed": p8_mixed, "p8_mixed_full": p8_mixed_full, "p8_shares": p8_shares, "p8_shares_full": p8_shares_full, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
+QUERIES = {"p5_found": p5_found, "p6_found": p6_found, "p6_matches": p6_matches, "p7_containers": p7_containers, "p7_fills": p7_fills, "p7_summary": p7_summary, "p8_mixed": p8_mixed, "p8_mixed_full": p8_mixed_full, "p8_shares": p8_shares, "p8_shares_full": p8_shares_full, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates, "p9_held_out": p9_held_out}
