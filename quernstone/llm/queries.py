@@ -48,9 +48,16 @@ def p7_summary(spark: SparkSession, d: str) -> DataFrame:
     return packing.summary(packing.containers(sized, table(spark, d, "pack_specs")), sized)
 
 
+#: Domains of the sources: what is published about records, and what people write about them.
+DOMAINS = {s: "records" for s in ("process_comments", "scope_notes", "method_sheets", "import_reports", "glossary")} | {s: "people" for s in ("review_threads", "user_feedback", "forum_archive", "field_diaries")}
+
+
+def p8_sized(spark: SparkSession, d: str) -> DataFrame:
+    return cut(tokens.counted(table(spark, d, "documents"), ["doc_id", "source", "lang"]))
+
+
 def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
-    sized = tokens.counted(table(spark, d, "documents"), ["doc_id", "source", "lang"])
-    return mixing.mixed(sized, table(spark, d, "mix_targets"))
+    return mixing.mixed(p8_sized(spark, d), table(spark, d, "mix_targets"), domains=DOMAINS)
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
@@ -59,9 +66,9 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_mixed_full(spark: SparkSession, d: str) -> DataFrame:
     """The selection for mixes of as many tokens as there are in all documents: small sources run short."""
-    sized = cut(tokens.counted(table(spark, d, "documents"), ["doc_id", "source", "lang"]))
+    sized = p8_sized(spark, d)
     n = sized.agg(F.sum("n_tokens")).first()[0] or 0
-    return mixing.mixed(sized, table(spark, d, "mix_targets"), total_tokens=n)
+    return mixing.mixed(sized, table(spark, d, "mix_targets"), total_tokens=n, domains=DOMAINS)
 
 
 def p8_shares_full(spark: SparkSession, d: str) -> DataFrame:

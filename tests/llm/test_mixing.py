@@ -53,8 +53,8 @@ def test_total_beyond_reach_uses_up_the_small_sources(spark):
 def test_prefix_against_brute_force(spark):
     r = random.Random(8)
     data = [("m", "s", "l", i, r.randrange(1, 50), r.randrange(1000)) for i in range(200)]
-    df = spark.createDataFrame([(*d, d[5] // 100, 900.0) for d in data], "mix_id string, source string, lang string, doc_id bigint, n_tokens bigint, h bigint, bucket int, gap double")
-    got = {x.doc_id for x in mx._prefix(df, ["mix_id", "source", "lang"]).collect()}
+    df = spark.createDataFrame([(*d, d[5] // 100, 900.0, 0, 0.5) for d in data], "mix_id string, source string, lang string, doc_id bigint, n_tokens bigint, h bigint, bucket int, rest double, whole int, u double")
+    got = {x.doc_id for x in mx._prefix(df, ["mix_id", "source", "lang"]).where("first = 1").collect()}
     want, total = set(), 0
     for d in sorted(data, key=lambda d: (d[5], d[3])):
         total += d[4]
@@ -64,6 +64,48 @@ def test_prefix_against_brute_force(spark):
     assert got == want
 
 
+def test_gaps_are_filled_until_nothing_fits(spark):
+    r = random.Random(3)
+    sizes = [r.choice([3, 7, 7, 7, 400]) for _ in range(400)]
+    df = spark.createDataFrame([("m", "s", "l", i, n, 0, 5_000.0, r.random(), int(i < 10)) for i, n in enumerate(sizes)], "mix_id string, source string, lang string, doc_id bigint, n_tokens bigint, whole int, rest double, u double, first int")
+    picked = {x.doc_id for x in mx._filled(df, ["mix_id", "source", "lang"]).collect()}
+    assert not picked & set(range(10))
+    left = 5_000 - sum(sizes[:10]) - sum(sizes[i] for i in picked)
+    free = [n for i, n in enumerate(sizes) if i >= 10 and i not in picked]
+    assert left >= 0 and all(n > left for n in free)
+
+
+def test_a_short_language_is_made_up_by_its_siblings_before_other_sources(spark):
+    rows = [(i, "x" if i % 2 else "y", "fr" if i < 40 else "de" if i < 400 else "en", 100) for i in range(2000)]
+    df, t = spark.createDataFrame(rows, D), spark.createDataFrame([("a", "x", 0.5, 2), ("a", "y", 0.5, 2)], T)
+    sel = mx.mixed(df, t, total_tokens=60_000, languages={"en": 1.0, "de": 1.0, "fr": 1.0}).collect()
+    used = {}
+    for r in sel:
+        used[r.source, r.lang] = used.get((r.source, r.lang), 0) + r.n_tokens * r.n_used
+    # French has 20 documents a source, twice 2,000 tokens of the 10,000 it should give
+    assert used["x", "fr"] == used["y", "fr"] == 4_000
+    assert used["x", "en"] == used["x", "de"] == 13_000 and used["y", "en"] == used["y", "de"] == 13_000
+
+
+def test_a_short_source_is_made_up_within_its_domain(spark):
+    rows = [(i, "small" if i < 10 else ["near", "far"][i % 2], "en", 100) for i in range(2000)]
+    df = spark.createDataFrame(rows, D)
+    t = spark.createDataFrame([("a", "small", 0.3, 2), ("a", "near", 0.3, 1), ("a", "far", 0.4, 1)], T)
+    used = {}
+    for r in mx.mixed(df, t, total_tokens=50_000, domains={"small": "one", "near": "one", "far": "two"}).collect():
+        used[r.source] = used.get(r.source, 0) + r.n_tokens * r.n_used
+    assert used == {"small": 2_000, "near": 28_000, "far": 20_000}
+
+
+def test_levels_in_another_order(spark):
+    rows = [(i, ["x", "y"][i % 2], "de" if i < 1000 else "en", 100) for i in range(3000)]
+    df, t = spark.createDataFrame(rows, D), spark.createDataFrame([("a", "x", 0.25, 1), ("a", "y", 0.75, 1)], T)
+    used = {}
+    for r in mx.mixed(df, t, total_tokens=40_000, languages={"en": 0.5, "de": 0.5}, levels=("domain", "lang", "source"), domains={"x": "d", "y": "d"}).collect():
+        used[r.source, r.lang] = used.get((r.source, r.lang), 0) + r.n_tokens * r.n_used
+    assert used == {("x", "de"): 5_000, ("x", "en"): 5_000, ("y", "de"): 15_000, ("y", "en"): 15_000}
+
+
 def test_empty_tables_and_nulls(spark):
     df, t = spark.createDataFrame(docs(50), D), spark.createDataFrame(TARGETS, T)
     assert mx.mixed(df.limit(0), t).count() == 0
