@@ -35,7 +35,7 @@ def counted(docs: DataFrame, columns: list[str], folder: str = TOKENIZERS, vocab
         enc = encoding(folder, vocabulary)
         for b in batches:
             out = b[columns].copy()
-            out["n_tokens"] = [len(x) for x in enc.encode_ordinary_batch([t or "" for t in b["text"]], num_threads=1)]
+            out["n_tokens"] = [len(enc.encode_ordinary(t)) if t else 0 for t in b["text"]]  # faster than a batch on one thread
             yield out
 
     return docs.select(*columns, "text").mapInPandas(run, f"{schema}, n_tokens int")
