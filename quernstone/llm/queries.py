@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import abuse, linkage, mixing, mojibake, packing, tokens
+from quernstone.llm import abuse, clusters, linkage, mixing, mojibake, packing, tokens
 from quernstone.session import cut
 
 
@@ -30,9 +30,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_sized(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, lang, source, cluster, n_tokens): one pass over the texts for tokens and signatures."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text")
-    same = F.xxhash64(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " ")))  # copies: the same words
-    return cut(tokens.counted(docs.withColumn("cluster", same), ["doc_id", "lang", "source", "cluster"]))
+    more = lambda texts: dict(zip(("digest", "bands"), map(list, zip(*map(clusters.signed, texts), strict=True)), strict=True)) if len(texts) else {"digest": [], "bands": []}
+    sized = cut(tokens.counted(docs, ["doc_id", "lang", "source"], more=more, more_schema="digest bigint, bands array<bigint>"))
+    return cut(clusters.clustered(sized, docs))
 
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
