@@ -1,4 +1,4 @@
-"""Command line: list, validate and run sources, run a family on one parse, audit what was staged."""
+"""Command line: list, validate and run sources, run a family on one parse, audit what was staged, cut files into slices."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from quernstone.errors import EngineError
 from quernstone.model import RunContext
 from quernstone.plans import audit, pipeline, registry
 from quernstone.session import session, ship
+from quernstone.sinks import writers
 
 
 def _context(a: argparse.Namespace) -> RunContext:
@@ -20,8 +21,12 @@ def _context(a: argparse.Namespace) -> RunContext:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="quernstone")
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("list", "validate", "run", "family", "audit"):
+    for name in ("list", "validate", "run", "family", "audit", "shard"):
         c = sub.add_parser(name)
+        if name == "shard":
+            c.add_argument("files", nargs="+", type=Path)
+            c.add_argument("--limit", type=int, default=2_500_000, help="bytes of a slice")
+            continue
         c.add_argument("--registry", help="YAML file of sources beside the built-in ones")
         if name == "list":
             continue
@@ -46,6 +51,13 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     try:
+        if a.command == "shard":
+            for f in a.files:
+                if not f.exists():
+                    raise EngineError(f"no such file: {f}")
+                for part in writers.shard_file(f, a.limit):
+                    print(f"wrote {part}")
+            return 0
         configs = registry.builtin() + (registry.load(Path(a.registry)) if a.registry else [])
         if a.command == "list":
             for c in configs:

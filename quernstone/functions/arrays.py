@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quernstone.functions.text import folded
+
 
 def _texts(*items: Column) -> Column:
     """An empty array of strings where the array is null."""
@@ -14,12 +16,12 @@ def _texts(*items: Column) -> Column:
 def dedupe(arr: Column) -> Column:
     """First spelling of every value, in order; case does not count, empty and null values vanish."""
     kept = F.filter(_texts(arr), lambda x: x.isNotNull() & (x != ""))
-    return F.aggregate(kept, F.array().cast("array<string>"), lambda acc, v: F.when(F.exists(acc, lambda a: F.lower(a) == F.lower(v)), acc).otherwise(F.concat(acc, F.array(v))))
+    return F.aggregate(kept, F.array().cast("array<string>"), lambda acc, v: F.when(F.exists(acc, lambda a: folded(a) == folded(v)), acc).otherwise(F.concat(acc, F.array(v))))
 
 
 def without(arr: Column, label: Column) -> Column:
     """Values that differ from the label by more than case."""
-    return F.filter(arr, lambda x: ~F.lower(x).eqNullSafe(F.lower(label)))
+    return F.filter(arr, lambda x: ~folded(x).eqNullSafe(folded(label)))
 
 
 def empty_to_null(arr: Column) -> Column:

@@ -29,6 +29,20 @@ SECTORS = {
     "10-building-services": ["ventilation", "water", "private consumption", "Others"],
     "99-obsolete": ["material, obsolete", "energy, obsolete", "processing, obsolete", "waste treatment, obsolete"],
 }
+#: Sector folder -> title.
+SECTOR_TITLES = {
+    "01-agriculture": "Agriculture",
+    "02-electricity": "Electricity",
+    "03-chemicals": "Chemicals",
+    "04-transport": "Transport",
+    "05-energy": "Energy",
+    "06-waste": "Waste management",
+    "07-construction": "Construction",
+    "08-materials": "Materials",
+    "09-electronics": "Electronics",
+    "10-building-services": "Building services",
+    "99-obsolete": "Obsolete (BAFU legacy link targets)",
+}
 #: Parts of a context identifier -> compartment.
 DOMAIN_COMPARTMENT = {"reso": "natural resource", "laus": "land use"}
 MEDIUM_COMPARTMENT = {"air": "air", "wate": "water", "grou": "soil", "biot": "biota"}

@@ -30,15 +30,30 @@ def blank_to_null(c: Column) -> Column:
     return F.when(s != "", s)
 
 
-def normalize_label(c: Column) -> Column:
-    """A label for comparison: single spaces, lower case. Letters with a longer folded form need :func:`casefold`."""
-    return F.lower(squash(c))
+def _foldings() -> tuple[dict[str, str], dict[str, str]]:
+    """Lower-case letters whose folded form differs: those of one letter, and those of several."""
+    one, more = {}, {}
+    for i in range(0x80, 0x10000):
+        c = chr(i)
+        if c.lower() == c != c.casefold():
+            (one if len(c.casefold()) == 1 else more)[c] = c.casefold()
+    return one, more
 
 
-@F.pandas_udf(StringType())
-def casefold(s: pd.Series) -> pd.Series:
-    """Python's full case folding."""
-    return s.str.casefold()
+_ONE, _MORE = _foldings()
+
+
+def folded(c: Column) -> Column:
+    """Full case folding of the Unicode standard, as str.casefold() has it, from built-ins."""
+    low = F.lower(c)
+    table = F.create_map(*(F.lit(x) for kv in _MORE.items() for x in kv))
+    letters = F.array_join(F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.translate(F.when(low.rlike("[" + "".join(_MORE) + "]"), letters).otherwise(low), "".join(_ONE), "".join(_ONE.values()))
+
+
+def normalize_label(c: Column) -> Column:
+    """A label for comparison: single spaces, case folded."""
+    return folded(squash(c))
 
 
 def _slug(text: str | None) -> str | None:

@@ -48,6 +48,10 @@ def uuid_sql(s: str) -> str:
     return f"(substr({h},1,8) || '-' || substr({h},9,4) || '-5' || substr({h},14,3) || '-' || substr('89ab', (('0x' || substr({h},17,1))::INT % 4) + 1, 1) || substr({h},18,3) || '-' || substr({h},21,12))"
 
 
+# case folding, of the letters these tables have
+fold = lambda c: f"replace(lower({c}), 'ß', 'ss')"
+slug = lambda c: f"trim(regexp_replace(lower(regexp_replace(strip_accents({c}), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-')"
+BASE = "https://vocab.example"
 NULLS = "('', 'nan', 'none', '<na>')"
 denull = lambda c: f"(CASE WHEN {c} IS NULL OR lower({strip(c)}) IN {NULLS} THEN '' ELSE {strip(c)} END)"
 
@@ -82,11 +86,21 @@ def q_compartment_slug(spark, d):
     return t(spark, d, "flows").select("rec_id", text.compartment_slug(F.col("compartment")).alias("slug"))
 
 
-@query(f"SELECT lower({squash('source_name')}) AS label, count(*) AS n FROM crosswalk GROUP BY 1")
+@query(f"SELECT {fold(squash('source_name'))} AS label, count(*) AS n FROM crosswalk GROUP BY 1")
 def q_normalize_label(spark, d):
     return t(spark, d, "crosswalk").groupBy(text.normalize_label(F.col("source_name")).alias("label")).agg(F.count("*").alias("n"))
 
 
+@query(f"""
+WITH v AS (SELECT rec_id, name FROM processes WHERE name IS NOT NULL UNION ALL SELECT rec_id, replace(upper(name), 'ß', 'SS') FROM processes WHERE name IS NOT NULL)
+SELECT rec_id, count(DISTINCT {fold(squash('name'))}) AS n_labels FROM v GROUP BY rec_id""")
+def q_label_fold(spark, d):
+    """A name and its capitals ("Straße", "STRASSE") are one label."""
+    p = t(spark, d, "processes").where("name is not null").select("rec_id", "name")
+    both = p.unionByName(p.select("rec_id", F.upper("name").alias("name")))
+    return both.groupBy("rec_id").agg(F.count_distinct(text.normalize_label(F.col("name"))).alias("n_labels"))
+
+
 @query(f"""
 SELECT rec_id, {uuid_sql("concat_ws('|', coalesce(source_name,''), coalesce(source_category,''), coalesce(source_subcategory,''))")} AS flow_id FROM crosswalk""")
 def q_flow_id(spark, d):
@@ -161,18 +175,35 @@ def q_flow_context(spark, d):
     return rows.select("c_custkey", text.path(F.col("r_name"), F.col("n_name"), F.col("c_mktsegment")).alias("context"))
 
 
-#: Words at the head of process comments that are categories of the sector map.
-_CATEGORY = "regexp_extract(comment, 'Category: ([a-z ]+) /', 1)"
-_KNOWN = {c: s for s, cs in routing.SECTORS.items() for c in cs}
-_VALUES = ", ".join(f"('{c}', '{s}')" for c, s in sorted(_KNOWN.items()))
+_CATEGORY = "regexp_extract(comment, 'Category: ([^/.]*[^/. ]) /', 1)"
+#: Sectors and their categories, written out for the check alone.
+_SECTORS = """
+01-agriculture: agricultural; food industry
+02-electricity: electricity; electricity by fuel; photovoltaic; wind power; power plants; impoundment
+03-chemicals: chemicals
+04-transport: transport systems
+05-energy: natural gas; heat; fuels; oil; heating; heat pumps; biomass; compressed air; pipeline; energy supply, kbob recommendation
+06-waste: waste management; landfill; construction waste; electronics waste; wastewater treatment; waste; transport waste; incineration; nuclear waste; underground deposit; recycling; landfarming
+07-construction: construction materials; construction; construction processes; building components; building processes; flooring; insulation materials; ceramics
+08-materials: wood; metals; minerals; paper+ board; plastics; glass; textiles; cardboard
+09-electronics: electronics; computers & network; mechanical
+10-building-services: ventilation; water; private consumption; Others
+99-obsolete: material, obsolete; energy, obsolete; processing, obsolete; waste treatment, obsolete
+"""
+_VALUES = ", ".join(f"('{c}', '{line.split(': ')[0]}')" for line in _SECTORS.strip().splitlines() for c in line.split(": ")[1].split("; "))
 
 
 @query(f"""
-WITH m(category, sector) AS (VALUES {_VALUES})
-SELECT rec_id, sector, regexp_replace(sector, '^[^-]*-', '') AS slug FROM processes JOIN m ON category = {_CATEGORY}""")
+WITH m(category, sector) AS (VALUES {_VALUES}), p AS (SELECT rec_id, {_CATEGORY} AS c FROM processes),
+r AS (SELECT rec_id, coalesce(sector, '10-building-services') AS sector FROM p LEFT JOIN m ON category = c)
+SELECT rec_id, sector, regexp_replace(sector, '^[^-]*-', '') AS slug FROM r
+UNION ALL SELECT -row_number() OVER (ORDER BY category), sector, regexp_replace(sector, '^[^-]*-', '') FROM m""")
 def q_route_sector(spark, d):
-    cat = F.regexp_extract("comment", "Category: ([a-z ]+) /", 1)
-    rows = t(spark, d, "processes").withColumn("category", cat).where(F.col("category").isin(list(_KNOWN)))
+    """All processes, those without a known category as "Others", and every category of the map."""
+    every = sorted(c for cs in routing.SECTORS.values() for c in cs)
+    cat = F.regexp_extract("comment", "Category: ([^/.]*[^/. ]) /", 1)
+    rows = t(spark, d, "processes").select("rec_id", F.when(cat.isin(every), cat).otherwise("Others").alias("category"))
+    rows = rows.unionByName(spark.createDataFrame([(-i, c) for i, c in enumerate(every, 1)], "rec_id bigint, category string"))
     routed = rows.select("rec_id", routing.sector(F.col("category")).alias("sector"))
     return routed.withColumn("slug", routing.sector_slug(F.col("sector")))
 
@@ -224,7 +255,25 @@ def q_real_factor(spark, d):
     return t(spark, d, "crosswalk").select("rec_id", routing.real_factor(F.col("unit_conversion")).alias("factor")).where("factor is not null")
 
 
-_UNITS = ", ".join("('" + k.replace("'", "''") + "', '" + v + "')" for k, v in routing.IMPACT_UNITS.items())
+#: Reference units and their impact categories, written out for the check alone.
+_IMPACTS = """
+mol H+ eq: Acidification
+kg CO2 eq: Climate change; Climate change-Biogenic; Climate change-Fossil; Climate change-Land use and land use change
+disease incidence: EF-particulate Matter
+kg N eq: Eutrophication marine
+kg P eq: Eutrophication, freshwater
+mol N eq: Eutrophication, terrestrial
+CTUh: Human toxicity, cancer; Human toxicity, cancer_inorganics; Human toxicity, cancer_organics; Human toxicity, non-cancer; Human toxicity, non-cancer_inorganics; Human toxicity, non-cancer_organics
+kBq U-235 eq: Ionising radiation, human health
+Pt: Land use
+kg CFC-11 eq: Ozone depletion
+kg NMVOC eq: Photochemical ozone formation - human health
+MJ: Resource use, fossils
+kg Sb eq: Resource use, minerals and metals
+m3 world eq deprived: Water use
+CTUe: Ecotoxicity, freshwater; Ecotoxicity, freshwater_inorganics; Ecotoxicity, freshwater_organics
+"""
+_UNITS = ", ".join(f"('{k}', '{line.split(': ')[0]}')" for line in _IMPACTS.strip().splitlines() for k in line.split(": ")[1].split("; "))
 
 
 @query(f"WITH m(k, u) AS (VALUES {_UNITS}, ('Noise', '')) SELECT k AS impact, u AS unit FROM m")
@@ -252,18 +301,23 @@ def q_legacy_notations(spark, d):
 
 
 @query("""
-WITH x AS (SELECT rec_id, unnest(exact_match) AS iri, generate_subscripts(exact_match, 1) AS i FROM flows WHERE exact_match IS NOT NULL)
-SELECT rec_id, string_agg(iri, '|' ORDER BY i) AS matches FROM (SELECT rec_id, iri, min(i) AS i FROM x WHERE iri <> '' GROUP BY ALL) GROUP BY rec_id""")
+WITH x AS (SELECT rec_id, iri, unnest(related) AS r, generate_subscripts(related, 1) AS i FROM concepts),
+e AS (SELECT * FROM x WHERE length(r) % 2 = 0),
+m AS (SELECT rec_id, iri AS v, 0 AS i FROM e WHERE iri <> '' UNION ALL SELECT rec_id, r, i FROM e WHERE r <> '')
+SELECT rec_id, string_agg(v, '|' ORDER BY i) AS matches FROM (SELECT rec_id, v, min(i) AS i FROM m GROUP BY ALL) GROUP BY rec_id""")
 def q_exact_matches(spark, d):
-    each = F.transform("exact_match", lambda x: F.struct(F.lit("skos:exactMatch").alias("type"), x.alias("source"), x.alias("target")))
-    rows = t(spark, d, "flows").select("rec_id", arrays.exact_matches(each).alias("m")).where(F.size("m") > 0)
+    """Links of concepts as associations, those of even length as exact matches."""
+    kind = lambda x: F.when(F.length(x) % 2 == 0, "xkos:exactMatch").otherwise("xkos:closeMatch")
+    each = F.transform("related", lambda x: F.struct(kind(x).alias("type"), F.col("iri").alias("source"), x.alias("target")))
+    rows = t(spark, d, "concepts").select("rec_id", arrays.exact_matches(each).alias("m")).where(F.size("m") > 0)
     return rows.select("rec_id", F.array_join("m", "|").alias("matches"))
 
 
-@query(f"SELECT rec_id, 'https://vocab.example/' || CASE WHEN {strip('termCode')} <> '' THEN 'c/' || termCode ELSE 'l' END AS iri FROM terms")
+@query(f"SELECT rec_id, CASE WHEN {strip('termCode')} <> '' AND parentCode IS NOT NULL THEN '{BASE}/c/' || termCode ELSE '{BASE}/l/' || {slug('termExtendedName')} END AS iri FROM terms")
 def q_make_iri(spark, d):
-    code = F.when(text.nonblank(F.col("termCode")), F.col("termCode"))
-    return t(spark, d, "terms").select("rec_id", F.coalesce(ids.iri("c", code), ids.iri("l")).alias("iri"))
+    """Codes where the term has a parent, else the slug of its name."""
+    code = F.when(text.nonblank(F.col("termCode")) & F.col("parentCode").isNotNull(), F.col("termCode"))
+    return t(spark, d, "terms").select("rec_id", ids.code_or_slug_iri(ids.iri("c", code), F.col("termExtendedName"), "l").alias("iri"))
 
 
 @query()
@@ -313,27 +367,46 @@ def q_related_links(spark, d):
     return found.select(F.col("ord").alias("rec_id"), F.array_join("related", "|").alias("related"))
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT rec_id, iri FROM concepts c WHERE iri IS NULL OR NOT EXISTS (SELECT 1 FROM (SELECT unnest(related) AS r FROM concepts) WHERE r = c.iri)")
 def q_anti_existing(spark, d):
-    o = t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return dedup.against(t(spark, d, "customer").select("c_custkey"), o, "skip", "c_custkey")
+    """Concepts that no other refers to."""
+    c = t(spark, d, "concepts")
+    return dedup.against(c.select("rec_id", "iri"), c.select(F.explode("related").alias("iri")), "skip")
 
 
-@query("SELECT count(*) AS n FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("""
+WITH k AS (SELECT DISTINCT o_custkey AS k FROM orders), hit AS (SELECT count(DISTINCT c_custkey) AS n FROM customer JOIN k ON c_custkey = k)
+SELECT 'customers' AS rows_, n > 0 AS raised, least(n, 20) AS n_named FROM hit
+UNION ALL SELECT 'numbers below zero', FALSE, 0""")
 def q_semi_collisions(spark, d):
-    o = t(spark, d, "orders").select(F.col("o_custkey").alias("k")).distinct()
-    return t(spark, d, "customer").join(o, F.col("c_custkey") == F.col("k"), "left_semi").agg(F.count("*").alias("n"))
+    """The policy ``error`` raises where an identifier exists and names up to 20; else the rows pass."""
+    from quernstone.errors import DedupError
+
+    orders = t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    customers, out = t(spark, d, "customer").select("c_custkey"), []
+    for what, rows in (("customers", customers), ("numbers below zero", customers.select((-F.col("c_custkey") - 1).alias("c_custkey")))):
+        try:
+            dedup.against(rows, orders, "error", "c_custkey")
+            out.append((what, False, 0))
+        except DedupError as e:
+            out.append((what, True, len(str(e).split(": ")[1].split(", "))))
+    return spark.createDataFrame(out, "rows_ string, raised boolean, n_named bigint")
 
 
-@query("SELECT c_custkey FROM customer")
+@query("""
+SELECT rec_id, iri, 'new' AS origin FROM concepts WHERE broader IS NOT NULL
+UNION ALL SELECT rec_id, iri, 'old' FROM concepts c WHERE broader IS NULL AND (iri IS NULL OR NOT EXISTS (SELECT 1 FROM concepts n WHERE n.broader IS NOT NULL AND n.iri = c.iri))""")
 def q_dedup_existing_overwrite(spark, d):
-    o = t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return dedup.against(t(spark, d, "customer").select("c_custkey"), o, "overwrite", "c_custkey")
+    """Incoming concepts (with a parent) stay whole; of the old ones those stay that none of them overwrites."""
+    c = t(spark, d, "concepts").select("rec_id", "iri", "broader")
+    new, old = c.where("broader is not null").select("rec_id", "iri"), c.where("broader is null").select("rec_id", "iri")
+    kept = dedup.against(new, old, "overwrite").withColumn("origin", F.lit("new"))
+    return kept.unionByName(dedup.against(old, new, "skip").withColumn("origin", F.lit("old")))
 
 
 @query(f"""
-WITH e AS (SELECT lower({squash('pref_label')}) AS norm, min(iri) AS existing FROM flows WHERE iri IS NOT NULL AND pref_label IS NOT NULL GROUP BY 1)
-SELECT f.iri, f.pref_label, existing FROM flows f JOIN e ON lower({squash('f.pref_label')}) = norm WHERE f.iri <> existing""")
+WITH e AS (SELECT {fold(squash('pref_label'))} AS norm, min(iri) AS existing FROM flows WHERE iri IS NOT NULL AND pref_label IS NOT NULL GROUP BY 1)
+SELECT f.iri, f.pref_label, existing FROM flows f JOIN e ON {fold(squash('f.pref_label'))} = norm WHERE f.iri <> existing""")
 def q_label_cross_collision(spark, d):
     f = t(spark, d, "flows")
     return dedup.existing_collisions(f, f)
@@ -351,10 +424,10 @@ def q_dangling_refs(spark, d):
 
 
 @query(f"""
-WITH k AS (SELECT DISTINCT lower({squash('target_name')}) AS form FROM target_flows),
+WITH k AS (SELECT DISTINCT {fold(squash('target_name'))} AS form FROM target_flows),
 n AS (SELECT DISTINCT source_name FROM crosswalk WHERE source_name IS NOT NULL)
-SELECT source_name FROM n WHERE lower({squash('source_name')}) NOT IN (SELECT form FROM k) AND replace(lower({squash('source_name')}), ' ', '-') NOT IN (SELECT form FROM k)
-  AND regexp_replace(lower({squash('source_name')}), ', technical grade$', '') NOT IN (SELECT form FROM k)""")
+SELECT source_name FROM n WHERE {fold(squash('source_name'))} NOT IN (SELECT form FROM k) AND replace({fold(squash('source_name'))}, ' ', '-') NOT IN (SELECT form FROM k)
+  AND regexp_replace({fold(squash('source_name'))}, ', technical grade$', '') NOT IN (SELECT form FROM k)""")
 def q_coverage_alternatives(spark, d):
     known = t(spark, d, "target_flows").select(text.normalize_label(F.col("target_name")).alias("form"))
     n = text.normalize_label(F.col("n"))
@@ -377,7 +450,7 @@ def q_dedup_conflicts(spark, d):
 
 
 @query(f"""
-WITH r AS (SELECT iri, pref_label, rec_id, lower({squash('pref_label')}) AS norm FROM flows WHERE iri IS NOT NULL AND pref_label IS NOT NULL),
+WITH r AS (SELECT iri, pref_label, rec_id, {fold(squash('pref_label'))} AS norm FROM flows WHERE iri IS NOT NULL AND pref_label IS NOT NULL),
 f AS (SELECT norm, arg_min(iri, rec_id) AS first FROM r GROUP BY 1)
 SELECT iri, pref_label, first FROM r JOIN f USING (norm) WHERE iri <> first""")
 def q_label_collisions(spark, d):
@@ -423,22 +496,85 @@ def q_enum_check(spark, d):
     return checks.report(checks.in_domain(t(spark, d, "exchanges"), "direction", ["input", "output"], "direction"), checks.in_domain(t(spark, d, "concepts"), "status", ["draft", "published"], "status"))
 
 
-@query("""
-SELECT 'region/' || r_regionkey AS iri, r_name AS pref_label, NULL AS broader FROM region
-UNION ALL SELECT 'nation/' || n_nationkey, n_name, 'region/' || n_regionkey FROM nation
-UNION ALL SELECT 'customer/' || c_custkey, c_name, 'nation/' || c_nationkey FROM customer""")
+@query(f"""
+WITH r AS (SELECT c_custkey, c_name, c_mktsegment, r_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+g AS (SELECT DISTINCT '{BASE}/products/agribalyse/group/' || {slug('r_name')} AS iri, r_name AS pref_label, NULL AS notation, NULL AS broader, NULL AS alt_labels FROM r),
+u AS (SELECT DISTINCT '{BASE}/products/agribalyse/subgroup/' || {slug('n_name')} AS iri, n_name AS pref_label, NULL AS notation, '{BASE}/products/agribalyse/group/' || {slug('r_name')} AS broader, NULL AS alt_labels FROM r)
+SELECT * FROM g UNION ALL SELECT * FROM u
+UNION ALL SELECT '{BASE}/products/agribalyse/' || c_custkey, c_name, CAST(c_custkey AS VARCHAR), '{BASE}/products/agribalyse/subgroup/' || {slug('n_name')}, CASE WHEN lower(c_mktsegment) <> lower(c_name) THEN c_mktsegment END FROM r""")
 def q_union_hierarchy(spark, d):
-    node = lambda kind, k: F.concat(F.lit(f"{kind}/"), F.col(k).cast("string"))
-    r = t(spark, d, "region").select(node("region", "r_regionkey").alias("iri"), F.col("r_name").alias("pref_label"))
-    n = t(spark, d, "nation").select(node("nation", "n_nationkey").alias("iri"), F.col("n_name").alias("pref_label"), node("region", "n_regionkey").alias("broader"))
-    c = t(spark, d, "customer").select(node("customer", "c_custkey").alias("iri"), F.col("c_name").alias("pref_label"), node("nation", "c_nationkey").alias("broader"))
-    return r.unionByName(n, allowMissingColumns=True).unionByName(c)
+    """Groups, subgroups and items of a product sheet, made of customers, nations and regions."""
+    from quernstone.model import SourceConfig
+    from quernstone.sources.families import Products
+
+    c, n, r = (t(spark, d, x) for x in ("customer", "nation", "region"))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    sheet = rows.select(F.col("c_custkey").cast("bigint").alias("ord"), F.col("c_custkey").cast("string").alias("agb"), F.lit("").alias("ciqual"), F.col("c_name").alias("name_fr"), F.col("c_mktsegment").alias("lci_name"), F.col("r_name").alias("group"), F.col("n_name").alias("subgroup"))
+    out = Products(SourceConfig("x", "Products", "vocab", "products", "u", "parquet", "parquet")).transform(sheet)
+    return out.select("iri", "pref_label", "notation", "broader", F.array_join("alt_labels", "|").alias("alt_labels"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query(f"""
+WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS k, p_name FROM part),
+x AS (SELECT *, CASE WHEN l_returnflag = 'A' AND l_linenumber - 1 = 0 THEN 'production' WHEN l_linenumber - 1 = 4 THEN 'biosphere' ELSE 'technosphere' END AS flow_type FROM lineitem)
+SELECT CAST(l_orderkey AS VARCHAR) AS process_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CASE WHEN l_returnflag = 'A' THEN 'output' ELSE 'input' END, CAST(l_partkey AS VARCHAR), l_linestatus, l_returnflag, l_quantity) - 1 AS INT) AS at, flow_type, CASE WHEN l_returnflag = 'A' THEN 'output' ELSE 'input' END AS direction, l_quantity AS amount,
+  CASE flow_type WHEN 'production' THEN CAST(l_orderkey AS VARCHAR) WHEN 'biosphere' THEN {uuid_sql("concat_ws('|', l_linestatus, l_returnflag, '')")} ELSE coalesce(p_name, CAST(l_partkey AS VARCHAR)) END AS flow
+FROM x LEFT JOIN p ON flow_type = 'technosphere' AND CAST(l_partkey AS VARCHAR) = k""")
 def q_exchange_explode(spark, d):
-    packed = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("x"))
-    return packed.select("l_orderkey", F.inline("x"))
+    """Exchange rows of datasets made of orders; parts are what inputs are resolved against."""
+    li = t(spark, d, "lineitem")
+    text_ = lambda c: F.col(c).cast("string")
+    none = F.lit(None).cast("string")
+    x = F.struct(
+        F.col("l_linenumber").cast("int").alias("line"), F.when(F.col("l_returnflag") == "A", "output").otherwise("input").alias("group"), (F.col("l_linenumber") - 1).alias("group_code"), text_("l_partkey").alias("number"),
+        F.col("l_linestatus").alias("name"), F.col("l_returnflag").alias("category"), none.alias("subcategory"), F.col("l_quantity").cast("double").alias("amount"), F.lit("kg").alias("unit"), none.alias("location"), none.alias("uncertainty_type"), F.lit(None).cast("double").alias("sd95"),
+    )
+    sets = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(x)).alias("exchanges")).select(F.col("l_orderkey").cast("bigint").alias("ord"), text_("l_orderkey").alias("uuid"), "exchanges")
+    index = t(spark, d, "part").select(text_("p_partkey").alias("number"), F.col("p_name").alias("uuid"))
+    rows = assemble.exchange_rows(sets, index)
+    return rows.select("process_id", "at", "flow_type", "direction", "amount", "flow")
+
+
+@query(f"""
+SELECT rec_id, {strip('source_name')} AS s_name, nullif({strip('source_unit')}, '') AS s_unit, nullif(source_cas, '') AS s_cas, nullif(concat_ws('|', nullif(source_category, ''), nullif(source_subcategory, '')), '') AS s_context, {strip('target_name')} AS t_name, nullif(target_code, '') AS t_code,
+  CASE WHEN unit_conversion <> 1.0 THEN unit_conversion END AS factor, coalesce(tier, '') || ' (priority tier ' || coalesce(CAST(candidate_count AS VARCHAR), 'None') || ')' AS comment
+FROM crosswalk WHERE target_db IN ('ef', 'biosphere3') AND NOT contains(coalesce(tier, ''), '2') AND coalesce(tier, '') <> 'T4' AND {strip('source_name')} <> '' AND {strip('target_name')} <> ''""")
+def q_curated_entries(spark, d):
+    c = t(spark, d, "crosswalk").withColumn("provenance", F.col("tier")).withColumn("priority_tier", F.col("candidate_count")).withColumn("source_context", F.array("source_category", "source_subcategory"))
+    e = assemble.curated_entries(c, ["ef", "biosphere3"], "2", ["T4"], keep=["rec_id"])
+    return e.select("rec_id", F.col("source.name").alias("s_name"), F.col("source.unit").alias("s_unit"), F.col("source.cas_number").alias("s_cas"), F.array_join("source.context", "|").alias("s_context"), F.col("target.name").alias("t_name"), F.col("target.code").alias("t_code"), F.col("conversion_factor").alias("factor"), "comment")
+
+
+@query("""
+WITH x AS (SELECT *, 'http' || substr(iri, 5) AS i FROM concepts)
+SELECT rec_id AS "row", 'slot ''pref_label'' is required' AS problem FROM x WHERE pref_label IS NULL
+UNION ALL SELECT rec_id, 'slot ''iri'' is required' FROM x WHERE iri IS NULL
+UNION ALL SELECT rec_id, 'slot ''status'' has the value ' || status FROM x WHERE status NOT IN ('draft', 'published')
+UNION ALL SELECT rec_id, 'slot ''broader'' has the value ' || broader FROM x WHERE NOT regexp_full_match(broader, '[A-Za-z][A-Za-z0-9_+.-]*:[^ \t\n]*')
+UNION ALL SELECT rec_id, 'slot ''notation'' is not allowed' FROM x WHERE notation IS NOT NULL
+UNION ALL SELECT min(rec_id), 'slot ''iri'' repeats ' || iri FROM x WHERE iri IS NOT NULL GROUP BY iri HAVING count(*) > 1""")
+def q_validate_rows(spark, d):
+    """All violations of a closed class by the rows of concepts."""
+    from quernstone.validate import schema
+
+    rules = {"classes": {"Concept": {"attributes": {"iri": {"identifier": True, "required": True}, "pref_label": {"required": True}, "status": {"range": "Status"}, "broader": {"range": "uriorcurie"}, "alt_labels": {"multivalued": True}}}}, "slots": {}, "enums": {"Status": {"permissible_values": {"draft": {}, "published": {}}}}}
+    rows = t(spark, d, "concepts").select(F.col("rec_id").alias("ord"), "iri", "pref_label", "status", "broader", "alt_labels", "notation")
+    return schema.problems(rows, rules, "Concept")
+
+
+@query(f"""
+WITH b AS (SELECT flow_name, location, unit, rec_id, {uuid_sql("concat_ws('|', coalesce(flow_name, ''), coalesce(location, ''), coalesce(unit, ''))")} AS id FROM exchanges WHERE flow_type = 'biosphere'),
+f AS (SELECT id, min(rec_id) AS rec_id FROM b GROUP BY 1)
+SELECT '{BASE}/flows/' || id AS iri, flow_name AS pref_label, id AS notation, location AS compartment, unit AS sub_compartment FROM b JOIN f USING (id, rec_id)""")
+def q_flow_terms(spark, d):
+    """Terms of the distinct biosphere flows, every exchange being a dataset of one."""
+    from quernstone.model import SourceConfig
+    from quernstone.sources.families import LciFlowTerms
+
+    x = F.struct(F.col("flow_name").alias("name"), F.col("location").alias("category"), F.col("unit").alias("subcategory"), F.lit("").alias("cas"), F.when(F.col("flow_type") == "biosphere", 4).otherwise(5).alias("group_code"))
+    sets = t(spark, d, "exchanges").select(F.col("rec_id").alias("ord"), F.array(x).alias("exchanges"))
+    terms_ = LciFlowTerms(SourceConfig("x", "LciFlowTerms", "vocab", "elementary-flows", "u", "zip", "parquet")).transform(sets)
+    return terms_.select("iri", "pref_label", "notation", "compartment", "sub_compartment")
 
 
 @query(f"""

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from quernstone.errors import ValidationError
 from quernstone.model import RunContext, SourceConfig, Target, target
 from quernstone.operators import dedup
+from quernstone.functions.routing import SECTOR_TITLES, SECTORS
 from quernstone.sinks import writers
 from quernstone.sources import families
 from quernstone.validate import schema
@@ -22,8 +23,10 @@ log = logging.getLogger("quernstone")
 
 def existing(spark: SparkSession, config: SourceConfig, ctx: RunContext) -> DataFrame | None:
     """(iri, pref_label) of what is published in the category's folder (YAML and Parquet collections)."""
-    folder = ctx.existing_root / "data" / config.category if ctx.existing_root else None
-    if folder is None or not folder.is_dir():
+    if ctx.existing_root is None:
+        raise ValidationError(f"source {config.name!r} is checked against what is published: name its checkout (--existing)")
+    folder = ctx.existing_root / "data" / config.category
+    if not folder.is_dir():
         return None
     rows = []
     for f in sorted([*folder.glob("*.yaml"), *folder.glob("*.yml")]):
@@ -108,7 +111,7 @@ def run(spark: SparkSession, config: SourceConfig, ctx: RunContext, records: Dat
 
 
 def run_family(spark: SparkSession, configs: list[SourceConfig], ctx: RunContext) -> list[Path]:
-    """Several sources; those of one input share one parse, written once and read by each."""
+    """Several sources; those of one input share one parse, written once and read by each. Sector folders get their metadata."""
     from quernstone.session import cut
 
     parsed: dict[tuple, DataFrame] = {}
@@ -119,4 +122,6 @@ def run_family(spark: SparkSession, configs: list[SourceConfig], ctx: RunContext
         if k not in parsed:
             parsed[k] = cut(s.read(spark, ctx))
         out.append(run(spark, c, ctx, parsed[k]))
+    for folder in sorted({p.parent for c, p in zip(configs, out, strict=True) if c.target == "inventory" and c.category in SECTORS}):
+        out.append(writers.sector_metadata(folder, folder.name, SECTOR_TITLES[folder.name], f"Source: {families.LciSource.citation}."))
     return out

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quernstone.errors import EngineError
+
 #: Settings the engine relies on; a cluster's own settings win.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,6 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise EngineError("spark.checkpoint.dir is not set: on a cluster it has to name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="quernstone-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -65,7 +69,7 @@ def _remove() -> None:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
         except Exception:  # the session may be gone already
-            return
+            continue
 
 
 _shipped: set[str] = set()

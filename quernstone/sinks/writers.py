@@ -1,8 +1,9 @@
 """Payloads to files.
 
-Documents (JSON, YAML, one Parquet file with its own metadata) are written by the driver; they are
-published collections, small by nature, and their rows come in through one ordered iterator. Bulk
-tables go through Spark's own writer (``parquet-dir``, ``jsonl``).
+Documents (JSON, YAML) are written by the driver; they are published collections, small by nature,
+and their rows come in through one ordered iterator. A Parquet file of its own metadata is sorted by
+the executors and put together from their files; tables without order go through Spark's own writer
+(``parquet-dir``, ``jsonl``).
 """
 
 from __future__ import annotations
@@ -11,19 +12,23 @@ import json
 import math
 import shutil
 import subprocess
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 import yaml
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quernstone.errors import DeliveryError, EngineError
 from quernstone.model import RunContext, Target
 from quernstone.operators.shard import sort_key
+from quernstone.session import shared_folder
 
 
 @dataclass
@@ -65,11 +70,27 @@ def write_yaml(p: Payload, path: Path) -> None:
 
 
 def write_parquet(p: Payload, path: Path) -> None:
-    """One file, sorted by notation or identifier (stable), the scheme in its metadata."""
+    """One file, sorted by notation or identifier (stable), the scheme in its metadata.
+
+    The executors sort in ranges and write a file each to the shared folder; those are put together
+    batch by batch, so the driver never holds the table.
+    """
     keys = [sort_key(p.df), *([F.col("ord")] if "ord" in p.df.columns else [])]
-    table = p.df.orderBy(*keys).drop("ord").toArrow()
+    spark = p.df.sparkSession
+    folder = f"{shared_folder(spark)}/sorted-{uuid.uuid4().hex}"
+    p.df.orderBy(*keys).drop("ord").write.parquet(folder)
     meta = {k: str(v) for k, v in (p.envelope or {}).items()}
-    pq.write_table(table.replace_schema_metadata(meta or None), path, compression="snappy")
+    fs, root = pafs.FileSystem.from_uri(folder if "://" in folder else Path(folder).absolute().as_uri())
+    try:
+        parts = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(root)) if f.base_name.startswith("part-"))  # numbered in the order of the ranges
+        kinds = to_arrow_schema(p.df.drop("ord").schema).with_metadata(meta or None)
+        with pq.ParquetWriter(path, kinds, compression="snappy") as out:
+            for part in parts:
+                with fs.open_input_file(part) as f:
+                    for batch in pq.ParquetFile(f).iter_batches():
+                        out.write_table(pa.Table.from_batches([batch]).replace_schema_metadata(None).cast(kinds.remove_metadata()).replace_schema_metadata(meta or None))
+    finally:
+        fs.delete_dir(root)
 
 
 def write_parquet_dir(p: Payload, path: Path) -> None:
@@ -132,11 +153,12 @@ def shard_file(path: Path, limit: int) -> list[Path]:
         n += 1
 
 
-def sector_metadata(folder: Path, sector: str, title: str, description: str, rank: int, version: str = "1") -> Path:
-    """metadata.json of a folder, with row counts from the Parquet footers."""
-    counts = {p.stem: pq.read_metadata(p).num_rows for p in sorted(folder.glob("*.parquet"))}
+def sector_metadata(folder: Path, sector: str, title: str, description: str, version: str = "0.1.0") -> Path:
+    """metadata.json of a sector's folder (rank-name), with row counts from the Parquet footers."""
+    rank, _, name = sector.partition("-")
+    counts = {p.name: pq.read_metadata(p).num_rows for p in sorted(folder.glob("*.parquet"))}
     path = folder / "metadata.json"
-    path.write_text(json.dumps({"sector": sector, "title": title, "description": description, "rank": rank, "schema_version": version, "row_counts": counts}, indent=2), "utf-8")
+    path.write_text(json.dumps({"sector": name, "title": title, "description": description, "rank": int(rank), "schema_version": version, "row_counts": counts}, indent=2), "utf-8")
     return path
 
 

@@ -73,30 +73,54 @@ class Food(Source):
 
     prefix = "foodex2"
 
+    # Hooks: each gives one field as a Column over the term's record; a family of one's own may override any.
+
+    def attr(self, k: str) -> F.Column:
+        return F.try_element_at("attrs", F.lit(k))
+
+    def classify(self) -> F.Column:
+        return routing.term_category(self.attr("termType"))
+
+    def notation(self) -> F.Column:
+        return F.when(F.col("termCode") != "", F.col("termCode"))
+
+    def pref_label(self) -> F.Column:
+        return F.coalesce(text.stripped(F.col("termExtendedName")), F.lit(""))
+
+    def definition(self) -> F.Column:
+        return text.before(F.col("termScopeNote"), "£")
+
+    def alt_labels(self) -> F.Column:
+        short = F.when(F.col("termShortName").isNotNull(), F.array("termShortName"))
+        return arrays.alt_labels(F.col("pref_label"), short, self.attr("A02"), self.attr("A01"))
+
+    def additional_notations(self) -> F.Column:
+        legacy = F.concat(*(arrays.prefixed(self.attr(k), p) for k, p in routing.LEGACY_CODES))
+        return arrays.empty_to_null(arrays.dedupe(legacy))
+
+    def broader(self, rows: DataFrame, index: DataFrame) -> DataFrame:
+        """``rows`` with ``broader``, the identifier of the parent."""
+        return resolve.broader(rows, index, self.prefix, self.base)
+
+    def related(self, df: DataFrame, index: DataFrame) -> DataFrame:
+        """(ord, related) of all terms."""
+        return resolve.related(df, index, self.prefix, self.base)
+
+    def make_iri(self, category: F.Column) -> F.Column:
+        """The identifier, ``category`` being that of the code's last term."""
+        code = resolve.code_iri(category, F.col("notation"), self.prefix, self.base)
+        return ids.code_or_slug_iri(code, F.col("pref_label"), self.config.category, self.prefix, base=self.base)
+
     def transform(self, df: DataFrame) -> DataFrame:
         index = resolve.code_index(df, "ord")
-        attr = lambda k: F.try_element_at("attrs", F.lit(k))
-        label = F.coalesce(text.stripped(F.col("termExtendedName")), F.lit(""))
-        kind = routing.term_category(attr("termType"))
-        rows = df.withColumn("category", kind).withColumn("pref_label", label).where((F.col("category") == self.config.category) & (F.col("pref_label") != ""))
-        code = F.when(F.col("termCode") != "", F.col("termCode"))
+        rows = df.withColumn("category", self.classify()).withColumn("pref_label", self.pref_label()).withColumn("notation", self.notation())
+        rows = rows.where((F.col("category") == self.config.category) & (F.col("pref_label") != ""))
         # a code's category is that of its last term
         own = index.select(F.col("code").alias("o_code"), F.col("category").alias("o_category"))
-        rows = rows.join(own, code == F.col("o_code"), "left")
-        rows = resolve.broader(rows, index, self.prefix, self.base)
-        rows = rows.join(resolve.related(df, index, self.prefix, self.base), "ord", "left")
-        short = F.when(F.col("termShortName").isNotNull(), F.array("termShortName"))
-        legacy = F.concat(*(arrays.prefixed(attr(k), p) for k, p in routing.LEGACY_CODES))
-        return shaped(
-            rows.select(
-                "ord", "pref_label", "broader", "related",
-                ids.code_or_slug_iri(resolve.code_iri(F.col("o_category"), code, self.prefix, self.base), F.col("pref_label"), self.config.category, self.prefix, base=self.base).alias("iri"),
-                arrays.alt_labels(F.col("pref_label"), short, attr("A02"), attr("A01")).alias("alt_labels"),
-                text.before(F.col("termScopeNote"), "£").alias("definition"), code.alias("notation"),
-                arrays.empty_to_null(arrays.dedupe(legacy)).alias("additional_notations"), routing.status(F.col("status")).alias("status"), self.source("foodex2").alias("source"),
-            ),
-            "concept",
-        )
+        rows = rows.join(own, F.col("notation") == F.col("o_code"), "left")
+        rows = self.broader(rows, index).join(self.related(df, index), "ord", "left")
+        fields = [self.make_iri(F.col("o_category")).alias("iri"), self.alt_labels().alias("alt_labels"), self.definition().alias("definition"), self.additional_notations().alias("additional_notations")]
+        return shaped(rows.select("ord", "pref_label", "notation", "broader", "related", *fields, routing.status(F.col("status")).alias("status"), self.source("foodex2").alias("source")), "concept")
 
 
 class EfFlows(Source):
@@ -192,7 +216,7 @@ class Products(SheetSource):
         gi, si = ids.slug_iri(F.col("group"), "products", self.prefix, "group", base=self.base), ids.slug_iri(F.col("subgroup"), "products", self.prefix, "subgroup", base=self.base)
         groups = rows.where("`group` != ''").select(at(0), gi.alias("iri"), F.col("group").alias("pref_label"))
         subs = rows.where("subgroup != ''").select(at(1), si.alias("iri"), F.col("subgroup").alias("pref_label"), F.when(F.col("group") != "", gi).alias("broader"))
-        lci = F.when((F.col("lci_name") != "") & (F.lower("lci_name") != F.lower("name_fr")), F.array("lci_name"))
+        lci = F.when((F.col("lci_name") != "") & (text.folded(F.col("lci_name")) != text.folded(F.col("name_fr"))), F.array("lci_name"))
         extra = F.filter(F.array(F.concat(F.lit("agb:"), F.col("agb")), F.when((F.col("ciqual") != "") & (F.col("ciqual") != F.col("agb")), F.concat(F.lit("ciqual:"), F.col("ciqual")))), lambda x: x.isNotNull())
         items = rows.select(at(2), self.iri("products", self.prefix, F.col("agb")).alias("iri"), F.col("name_fr").alias("pref_label"), F.coalesce(self.some("ciqual"), "agb").alias("notation"), lci.alias("alt_labels"), extra.alias("additional_notations"), F.when(F.col("subgroup") != "", si).alias("broader"))
         every = groups.unionByName(subs, True).unionByName(items, True).withColumn("source", self.source("agribalyse-3.2")).withColumn("status", F.lit("draft"))
@@ -205,7 +229,7 @@ class SheetProcesses(SheetSource):
     def transform(self, df: DataFrame) -> DataFrame:
         label = F.coalesce(self.some("lci_name"), self.some("name_fr"))
         rows = df.withColumn("pref_label", label).where((F.col("agb") != "") & F.col("pref_label").isNotNull())
-        alt = F.when((F.col("name_fr") != "") & (F.lower("name_fr") != F.lower("pref_label")), F.array("name_fr"))
+        alt = F.when((F.col("name_fr") != "") & (text.folded(F.col("name_fr")) != text.folded(F.col("pref_label"))), F.array("name_fr"))
         terms = rows.select("ord", self.iri("processes", self.prefix, F.col("agb")).alias("iri"), "pref_label", F.coalesce(self.some("ciqual"), "agb").alias("notation"), F.lit("lci_result").alias("process_type"), F.array(self.iri("products", self.prefix, F.col("agb"))).alias("related"), F.array(F.concat(F.lit("agb:"), F.col("agb"))).alias("additional_notations"), alt.alias("alt_labels"), self.source("agribalyse-3.2").alias("source"), F.lit("draft").alias("status"))
         return dedup.first_wins(shaped(terms, "process_term"), ["iri"])
 
@@ -255,6 +279,7 @@ class LciProcessTerms(LciSource):
 
 
 class CuratedMappings(Source):
+    #: The columns of the delivered table.
     columns = ["source_name", "source_unit", "source_context", "source_cas", "target_db", "target_code", "target_name", "target_unit", "unit_conversion", "priority_tier", "provenance"]
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -263,6 +288,7 @@ class CuratedMappings(Source):
 
 
 class DebridgedMappings(Source):
+    #: The columns of the delivered table.
     columns = ["source_name", "source_category", "source_subcategory", "source_unit", "target_code", "target_name", "target_unit", "target_categories", "unit_conversion", "tier", "target_db"]
 
     def transform(self, df: DataFrame) -> DataFrame:

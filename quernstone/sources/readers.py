@@ -94,8 +94,15 @@ def workbook(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Columns as they are; ``ord`` is the row's position in its file."""
-    return spark.read.parquet(path).select("*", F.col("_metadata.row_index").alias("ord"))
+    """Columns as they are; ``ord`` is the row's position in its file, files following one another by name."""
+    df = spark.read.parquet(path)
+    files, row = sorted(df.inputFiles()), F.col("_metadata.row_index")
+    if len(files) < 2:
+        return df.select("*", row.alias("ord"))
+    bare = lambda c: F.url_decode(F.regexp_replace(c, "^[a-z0-9]+:/+", "/"))
+    ranks = spark.createDataFrame(list(enumerate(files)), "f_rank bigint, f_name string").select("f_rank", bare(F.col("f_name")).alias("f_name"))
+    rows = df.select("*", row.alias("f_row"), bare(F.col("_metadata.file_path")).alias("f_path"))
+    return rows.join(ranks, F.col("f_path") == F.col("f_name")).withColumn("ord", F.shiftleft("f_rank", 40) + F.col("f_row")).drop("f_row", "f_path", "f_rank", "f_name")
 
 
 # --- families' own formats ---------------------------------------------------------------------
@@ -223,6 +230,7 @@ def product_sheet(spark: SparkSession, path: str, header_row: int = 2) -> DataFr
     return df.where(F.col("ord") > header_row).select("ord", *found)
 
 
+#: The columns of the factor table that are needed.
 FACTOR_COLUMNS = ["FLOW_uuid", "FLOW_name", "LCIAMethod_name", "CF EF3.1", "LCIAMethod_location", "FLOW_class0", "FLOW_class1", "FLOW_class2"]
 
 

@@ -90,7 +90,7 @@ def problems(df: DataFrame, schema: dict, cls: str, order: str = "ord") -> DataF
         if allowed:
             bad = _outside(allowed)
         elif d.get("range") in ("uriorcurie", "uri"):
-            bad = lambda x: ~x.rlike(r"^[A-Za-z][\w+.-]*:\S*$")
+            bad = lambda x: ~x.rlike(r"\A[A-Za-z][\w+.-]*:\S*\z")
         if bad is not None:
             hit = F.exists(c, _known(bad)) if many else bad(c)
             found.append(F.when(hit, F.concat(F.lit(f"slot {n!r} has the value "), F.to_json(F.struct(c)) if many else c)))

@@ -51,8 +51,8 @@ def test_shards(tmp_path):
     assert len(parts) > 2 and all(p.stat().st_size <= 20_000 for p in parts) and parts[0].name == "a-01.parquet"
     back = pa.concat_tables(pq.read_table(p) for p in parts)
     assert back["i"].to_pylist() == list(range(4000)) and back.schema.metadata == {b"scheme": b"s"}
-    meta = json.loads(w.sector_metadata(tmp_path, "01-x", "X", "d", 1).read_text())
-    assert meta["row_counts"]["a"] == 4000
+    meta = json.loads(w.sector_metadata(tmp_path, "01-x", "X", "d").read_text())
+    assert meta["row_counts"]["a.parquet"] == 4000 and (meta["sector"], meta["rank"]) == ("x", 1)
 
 
 def test_deliver(tmp_path):

@@ -7,7 +7,9 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from quernstone.errors import FetchError, ParseError, RegistryError
+from pyspark.sql import functions as F
+
+from quernstone.errors import FetchError, ParseError, RegistryError, ValidationError
 from quernstone.model import RunContext, SourceConfig
 from quernstone.plans import pipeline, registry
 from quernstone.sources import families, readers, turtle, xlsx
@@ -304,7 +306,47 @@ def test_family_shares_one_parse(spark, tmp_path, inventory):
 
     configs = [replace(registry.get(n), url=inventory.as_uri()) for n in ("bafu-electricity-processes", "bafu-electricity-exchanges", "bafu-energy-processes")]
     out = pipeline.run_family(spark, configs, RunContext(tmp_path / "c", tmp_path / "o"))
-    assert [pq.read_table(p).num_rows for p in out] == [1, 4, 1]
+    assert [pq.read_table(p).num_rows for p in out[:3]] == [1, 4, 1]
+    meta = json.loads(out[3].read_text())
+    assert (meta["sector"], meta["title"], meta["rank"], meta["row_counts"]) == ("electricity", "Electricity", 2, {"exchanges.parquet": 4, "processes.parquet": 1})
+
+
+def test_rows_of_several_files_follow_one_another(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    for name, values in (("b", [3, 4]), ("a", [1, 2])):
+        pq.write_table(pa.table({"x": values}), tmp_path / f"a b/{name}.parquet")
+    got = readers.parquet(spark, str(tmp_path / "a b")).collect()
+    assert [r.x for r in sorted(got, key=lambda r: r.ord)] == [1, 2, 3, 4] and len({r.ord for r in got}) == 4
+
+
+def test_hooks_may_be_overridden(spark):
+    class Mine(families.Food):
+        def pref_label(self):
+            return F.upper("termExtendedName")
+
+        def definition(self):
+            return F.lit("mine")
+
+    df = spark.createDataFrame([(0, "A1", "apple", None, "note£x", None, None, {})], "ord bigint, termCode string, termExtendedName string, termShortName string, termScopeNote string, status string, parentCode string, attrs map<string,array<string>>")
+    row = Mine(SourceConfig("x", "Mine", "vocab", "products", "u", "ecf", "parquet")).transform(df).first()
+    assert (row.pref_label, row.definition, row.notation) == ("APPLE", "mine", "A1")
+
+
+def test_a_checked_source_needs_the_checkout(spark, tmp_path):
+    from dataclasses import replace
+
+    config = replace(registry.get("bafu-2026-source"), check_existing=True)
+    with pytest.raises(ValidationError):
+        pipeline.validate(spark, config, RunContext(tmp_path / "c", tmp_path / "o"))
+
+
+def test_shard_command(tmp_path, capsys):
+    from quernstone.__main__ import main
+
+    pq.write_table(pa.table({"x": list(range(1000))}), tmp_path / "t.parquet")
+    assert main(["shard", str(tmp_path / "t.parquet"), "--limit", "2000"]) == 0
+    assert sum(pq.read_metadata(f).num_rows for f in tmp_path.glob("t-*.parquet")) == 1000
+    assert main(["shard", str(tmp_path / "none.parquet")]) == 1
 
 
 def test_audit(spark, tmp_path, inventory, capsys):
@@ -312,13 +354,11 @@ def test_audit(spark, tmp_path, inventory, capsys):
 
     from quernstone.__main__ import main
     from quernstone.plans.audit import audit
-    from quernstone.sinks.writers import sector_metadata
 
     names = [c for c in registry.builtin() if c.name.startswith("bafu-") and c.format == "zip" and c.target == "inventory"] + [registry.get("bafu-elementary-flows-emissions-to-air")]
     out = tmp_path / "o"
     configs = [replace(c, url=inventory.as_uri(), collection=None, item_class=None) for c in names]
-    pipeline.run_family(spark, configs, RunContext(tmp_path / "c", out))
-    sector_metadata(out / "inventory/02-electricity", "02-electricity", "Electricity", "d", 2)
+    pipeline.run_family(spark, configs, RunContext(tmp_path / "c", out, existing_root=tmp_path))
     products = spark.createDataFrame([("Power - CH",), ("Power - US-CH",), ("CrÃ¨me - FR",), (None,)], "product string")
     got = {r["check"]: (r["ok"], r["detail"]) for r in audit(spark, out, 3, products).collect()}
     assert got["there are 3 processes"] == (True, "3") and got["process ids are unique"][0]
