@@ -145,9 +145,9 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None,
             r = leaves[at["source"], at["lang"]]
             whole = min(int(leaf.budget // r["tokens"]), r["repeats"])
             rest = leaf.budget - whole * r["tokens"] if whole < r["repeats"] else 0.0
-            plan.append((mix, r["source"], r["lang"], whole, float(rest), max(1, -(-r["n"] // bucket_docs))))
+            plan.append((mix, r["source"], r["lang"], whole, float(rest), int(whole < r["repeats"]), max(1, -(-r["n"] // bucket_docs))))
     spark = docs.sparkSession
-    plans = F.broadcast(spark.createDataFrame(plan, "mix_id string, source string, lang string, whole int, rest double, buckets int"))  # at most LEAVES rows
+    plans = F.broadcast(spark.createDataFrame(plan, "mix_id string, source string, lang string, whole int, rest double, open int, buckets int"))  # at most LEAVES rows
 
     order = F.xxhash64("doc_id", "mix_id", F.col("whole"), F.lit(seed))
     laid = rows.join(plans, ["source", "lang"]).where("whole > 0 or rest >= 1").withColumn("h", order)
@@ -157,7 +157,7 @@ def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     leaf = ["mix_id", "source", "lang"]
     taken = cut(_prefix(laid, leaf))
     more = _filled(taken, leaf)
-    out = taken.join(more, [*leaf, "doc_id"], "left").withColumn("n_used", F.col("whole") + F.col("first") + F.coalesce("now", F.lit(0)))
+    out = taken.join(more, ["mix_id", "source", "doc_id"], "left").withColumn("n_used", F.col("whole") + F.col("first") + F.coalesce("now", F.lit(0)))
     return out.where("n_used > 0").select("mix_id", "doc_id", "source", "lang", "n_tokens", "n_used")
 
 
@@ -175,37 +175,39 @@ def _prefix(laid: DataFrame, leaf: list[str]) -> DataFrame:
     rows = laid.join(starts, [*leaf, "bucket"])
     ends_here = (F.col("start") < F.col("rest")) & (F.col("start") + F.col("part") > F.col("rest"))
     upto = F.col("start") + F.sum("n_tokens").over(Window.partitionBy(*leaf, "bucket").orderBy("h", "doc_id"))
-    columns = [*leaf, "doc_id", "n_tokens", "whole", "rest", "u"]
+    columns = [*leaf, "doc_id", "n_tokens", "whole", "rest", "open", "u"]
     sure = rows.where(~ends_here).select(*columns, (F.col("start") + F.col("part") <= F.col("rest")).cast("int").alias("first"))
     return sure.unionByName(rows.where(ends_here).withColumn("first", (upto <= F.col("rest")).cast("int")).select(*columns, "first"))
 
 
 def _filled(taken: DataFrame, leaf: list[str]) -> DataFrame:
-    """(leaf, doc_id, now) of the documents that fill what the prefixes left open.
+    """(mix_id, source, doc_id, now) of the documents that fill what the prefixes left open.
 
-    Per leaf only the numbers of documents of each size are looked at, sizes below the gap alone, so
-    a leaf's table is at most as long as its longest text. The largest size that fits is taken as
-    often as it fits, then the next; of the documents of a size the first of the order are taken.
+    What the leaves of a source lack is filled from all of its leaves. Only the numbers of documents
+    of each size are looked at, sizes below the gap alone, so a source's table is at most as long as
+    the longest text. The largest size that fits is taken as often as it fits, then the next; of the
+    documents of a size the first of the order are taken.
     """
-    gaps = taken.groupBy(*leaf).agg((F.first("rest") - F.sum(F.col("first") * F.col("n_tokens"))).alias("gap")).where("gap >= 1")
-    free = taken.where("first = 0 and rest >= 1").join(gaps, leaf).where("n_tokens <= gap")
-    sizes = free.groupBy(*leaf, "n_tokens").agg(F.count("*").alias("n"), F.first("gap").alias("gap"))
+    top = ["mix_id", "source"]
+    gaps = taken.groupBy(*leaf).agg((F.first("rest") - F.sum(F.col("first") * F.col("n_tokens"))).alias("gap")).groupBy(*top).agg(F.sum("gap").alias("gap")).where("gap >= 1")
+    free = taken.where("first = 0 and open = 1").join(gaps, top).where("n_tokens <= gap")
+    sizes = free.groupBy(*top, "n_tokens").agg(F.count("*").alias("n"), F.first("gap").alias("gap"))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         gap, out = float(pdf["gap"].iloc[0]), []
         for size, n in sorted(zip(pdf["n_tokens"].tolist(), pdf["n"].tolist(), strict=True), reverse=True):
             m = min(int(gap // size), n)
             if m:
-                out.append((*(pdf[c].iloc[0] for c in leaf), size, m, n))
+                out.append((*(pdf[c].iloc[0] for c in top), size, m, n))
                 gap -= m * size
-        return pd.DataFrame(out, columns=[*leaf, "n_tokens", "m", "n"])
+        return pd.DataFrame(out, columns=[*top, "n_tokens", "m", "n"])
 
-    wanted = cut(sizes.groupBy(*leaf).applyInPandas(fill, ", ".join(f"{c} string" for c in leaf) + ", n_tokens bigint, m bigint, n bigint"))
+    wanted = cut(sizes.groupBy(*top).applyInPandas(fill, "mix_id string, source string, n_tokens bigint, m bigint, n bigint"))
     # of many documents of a size only those early in the order are ranked: with m wanted of n, more than enough by chance
     early = F.col("u") <= (F.col("m") + 8 * F.sqrt("m") + 30) / F.col("n")
-    near = taken.where("first = 0 and rest >= 1").join(wanted, [*leaf, "n_tokens"]).where(early)
-    rank = F.row_number().over(Window.partitionBy(*leaf, "n_tokens").orderBy("u", "doc_id"))
-    return near.withColumn("k", rank).where("k <= m").select(*leaf, "doc_id", F.lit(1).alias("now"))
+    near = taken.where("first = 0 and open = 1").join(wanted, [*top, "n_tokens"]).where(early)
+    rank = F.row_number().over(Window.partitionBy(*top, "n_tokens").orderBy("u", "doc_id"))
+    return near.withColumn("k", rank).where("k <= m").select(*top, "doc_id", F.lit(1).alias("now"))
 
 
 def shares(selection: DataFrame, targets: DataFrame) -> DataFrame:

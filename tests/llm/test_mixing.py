@@ -53,7 +53,7 @@ def test_total_beyond_reach_uses_up_the_small_sources(spark):
 def test_prefix_against_brute_force(spark):
     r = random.Random(8)
     data = [("m", "s", "l", i, r.randrange(1, 50), r.randrange(1000)) for i in range(200)]
-    df = spark.createDataFrame([(*d, d[5] // 100, 900.0, 0, 0.5) for d in data], "mix_id string, source string, lang string, doc_id bigint, n_tokens bigint, h bigint, bucket int, rest double, whole int, u double")
+    df = spark.createDataFrame([(*d, d[5] // 100, 900.0, 0, 1, 0.5) for d in data], "mix_id string, source string, lang string, doc_id bigint, n_tokens bigint, h bigint, bucket int, rest double, whole int, open int, u double")
     got = {x.doc_id for x in mx._prefix(df, ["mix_id", "source", "lang"]).where("first = 1").collect()}
     want, total = set(), 0
     for d in sorted(data, key=lambda d: (d[5], d[3])):
@@ -67,7 +67,7 @@ def test_prefix_against_brute_force(spark):
 def test_gaps_are_filled_until_nothing_fits(spark):
     r = random.Random(3)
     sizes = [r.choice([3, 7, 7, 7, 400]) for _ in range(400)]
-    df = spark.createDataFrame([("m", "s", "l", i, n, 0, 5_000.0, r.random(), int(i < 10)) for i, n in enumerate(sizes)], "mix_id string, source string, lang string, doc_id bigint, n_tokens bigint, whole int, rest double, u double, first int")
+    df = spark.createDataFrame([("m", "s", "l", i, n, 0, 5_000.0, 1, r.random(), int(i < 10)) for i, n in enumerate(sizes)], "mix_id string, source string, lang string, doc_id bigint, n_tokens bigint, whole int, rest double, open int, u double, first int")
     picked = {x.doc_id for x in mx._filled(df, ["mix_id", "source", "lang"]).collect()}
     assert not picked & set(range(10))
     left = 5_000 - sum(sizes[:10]) - sum(sizes[i] for i in picked)
