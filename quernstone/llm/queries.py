@@ -44,7 +44,7 @@ def p6_exact(spark: SparkSession, d: str) -> DataFrame:
 def p7_sized(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, lang, source, cluster, n_tokens): one pass over the texts for tokens and signatures."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text")
-    more = lambda texts: dict(zip(("digest", "bands"), map(list, zip(*map(clusters.signed, texts), strict=True)), strict=True)) if len(texts) else {"digest": [], "bands": []}
+    more = lambda texts: dict(zip(("digest", "bands"), clusters.signed(texts), strict=True))
     sized = cut(tokens.counted(docs, ["doc_id", "lang", "source"], more=more, more_schema="digest bigint, bands array<bigint>"))
     return cut(clusters.clustered(sized, docs))
 
