@@ -326,15 +326,15 @@ def name_pairs(sources: DataFrame, targets: DataFrame) -> DataFrame:
 def stem_pairs(stems: DataFrame, members: DataFrame) -> DataFrame:
     """(stem, place, b) of cut-off names that one name of a place alone begins with.
 
-    stems: (stem), distinct; members: (t_name, place, b).
+    stems: (stem), distinct, of any length; members: (t_name, place, b). Names are cut to the lengths
+    that stems have, one row of an aggregate.
     """
-    flat = members.select("place", "b", F.regexp_replace("t_name", " ", "").alias("flat"))
-    lens = [r[0] for r in stems.select(F.length("stem")).distinct().where("length(stem) <= 40").collect()]  # at most 40 values
-    out = stems.select("stem", F.lit("").alias("place"), F.lit(0).cast("bigint").alias("b")).limit(0)
-    for n in sorted(lens):
-        lone = flat.where(F.length("flat") >= n).groupBy(F.substring("flat", 1, n).alias("stem"), "place").agg(F.count_distinct("flat").alias("k"), F.min("b").alias("b")).where("k = 1")
-        out = out.unionByName(stems.join(lone, "stem").select("stem", "place", "b"))
-    return out
+    lens = stems.agg(F.collect_set(F.length("stem")).alias("lens"))
+    flat = members.select("place", "b", F.regexp_replace("t_name", " ", "").alias("flat")).crossJoin(F.broadcast(lens))
+    starts = F.transform(F.filter("lens", lambda n: n <= F.length("flat")), lambda n: F.substring("flat", F.lit(1), n))
+    begun = flat.select("place", "b", "flat", F.explode(starts).alias("stem")).join(stems, "stem")
+    lone = begun.groupBy("stem", "place").agg(F.count_distinct("flat").alias("k"), F.min("b").alias("b"))
+    return lone.where("k = 1").select("stem", "place", "b")
 
 
 def learned_places(places: DataFrame, links: DataFrame, targets: DataFrame) -> DataFrame:

@@ -134,3 +134,11 @@ def test_calibration():
     for lo, hi in ((0.2, 0.4), (0.4, 0.6), (0.6, 0.8)):
         part = (p > lo) & (p < hi)
         assert abs(p[part].mean() - y[part].mean()) < 0.08
+
+
+def test_cut_off_names_of_any_length(spark):
+    long = "".join(f"syl{i}" for i in range(30))
+    members = spark.createDataFrame([(f"{long} oxide", "air", 1), (f"{long} ide", "sea", 2), (f"{long} ane", "sea", 3), ("lumane", "air", 4), ("lum ane", "air", 5), ("dro", "air", 6)], "t_name string, place string, b bigint")
+    stems = spark.createDataFrame([(long,), (f"{long}id",), ("lum",), ("dromedane",)], "stem string")
+    assert {tuple(r) for r in lk.stem_pairs(stems, members).collect()} == {(long, "air", 1), (f"{long}id", "sea", 2), ("lum", "air", 4)}
+    assert lk.stem_pairs(stems.limit(0), members).count() == 0
