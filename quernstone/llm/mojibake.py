@@ -151,15 +151,58 @@ def train(texts: list[str], size: int = 16_384, least: int = 40) -> dict[str, by
     groups: dict[str, list[str]] = {}
     for t in texts:
         groups.setdefault(language(t), []).append(t)
-    out: dict[str, bytes] = {}
-    for name, group in [*sorted(groups.items()), ("all", texts)]:
-        if len(group) < least:
-            continue
-        try:
-            out[name] = zstd.train_dictionary(size, [t.encode() for t in group]).as_bytes()
-        except zstd.ZstdError:  # too little to train on: the texts themselves are the dictionary
-            out[name] = "\n".join(group).encode()[-size:]
-    return out
+    return {name: train_one([t.encode() for t in group], size) for name, group in [*sorted(groups.items()), ("all", texts)] if len(group) >= least}
+
+
+def train_one(texts: list[bytes], size: int = 16_384) -> bytes:
+    try:
+        return zstd.train_dictionary(size, texts).as_bytes()
+    except zstd.ZstdError:  # too little to train on: the texts themselves are the dictionary
+        return b"\n".join(texts)[-size:]
+
+
+PIECE, MERGED = 64, 64  #: bytes of the pieces that dictionaries are merged from, dictionaries merged at once
+_TABLES = (b"\x37\xa4\x30\xec", 512)  #: how a trained dictionary begins, and about how many bytes its tables have
+
+
+def merge(dictionaries: list[bytes]) -> bytes:
+    """One dictionary trained on the contents of several, so on what many of them hold."""
+    start = lambda d: _TABLES[1] if d.startswith(_TABLES[0]) and len(d) > 2 * _TABLES[1] else 0
+    return train_one([d[i : i + PIECE] for d in dictionaries for i in range(start(d), len(d), PIECE)])
+
+
+def trained(texts: DataFrame, rows: int, least: int = 40) -> dict[str, bytes]:
+    """The dictionaries of :func:`train` from all of ``texts`` (text), distinct.
+
+    Each language's texts are dealt by hash to groups of about ``rows``; every group is trained by
+    itself, then the dictionaries are merged until one is left. Collected: one per language.
+    """
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"text": b["text"], "name": [language(t) for t in b["text"]]})
+
+    told = cut(texts.select("text").mapInPandas(tell, "text string, name string"))
+    told = told.unionByName(told.withColumn("name", F.lit("all")))
+    sizes = {r.name: r.n for r in told.groupBy("name").agg(F.count("*").alias("n")).collect() if r.n >= least}  # one row per language
+    parts = {name: -(-n // rows) for name, n in sizes.items()}
+    if not parts:
+        return {}
+    k = F.create_map(*(F.lit(x) for name, n in parts.items() for x in (name, n)))
+    dealt = told.where(F.col("name").isin(list(parts))).withColumn("part", F.pmod(F.xxhash64("text"), k[F.col("name")].cast("bigint")))
+    one = "name string, part bigint, dictionary binary"
+
+    def learn(b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"name": b["name"].iloc[:1], "part": b["part"].iloc[:1], "dictionary": [train_one([t.encode() for t in sorted(b["text"])])]})
+
+    def join(b: pd.DataFrame) -> pd.DataFrame:
+        every = b.sort_values("part")["dictionary"].tolist()
+        return pd.DataFrame({"name": b["name"].iloc[:1], "part": b["part"].iloc[:1] // MERGED, "dictionary": [every[0] if len(every) == 1 else merge(every)]})
+
+    now, most = cut(dealt.groupBy("name", "part").applyInPandas(learn, one)), max(parts.values())
+    while most > 1:
+        now, most = cut(now.groupBy("name", F.floor(F.col("part") / MERGED).alias("up")).applyInPandas(join, one)), -(-most // MERGED)
+    return {r.name: bytes(r.dictionary) for r in now.orderBy("name").collect()}
 
 
 def seen_letters(texts: Iterable[str]) -> Counter:
@@ -385,28 +428,21 @@ def judged(hard: DataFrame) -> DataFrame:
     return cut(spread(hard.select("text"), 5_000).mapInPandas(run, "text string, clean boolean"))
 
 
-def sample(texts: DataFrame, rows: int) -> list[str]:
-    """About ``rows`` of the texts to train on, those with the least hashes."""
-    n = texts.count()
-    share = F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(float(1 << 53))
-    return sorted(r.text for r in (texts.where(share < rows / n) if n > rows else texts).select("text").collect())
-
-
 def restored(names: DataFrame, train_rows: int = 20_000) -> DataFrame:
     """(tab, rec_id, restored) of every garbled text of ``names`` (tab, rec_id, text).
 
     restored is empty where characters are lost. Nulls and empty texts are never garbled; every
     copy of a garbled text is reported; an empty table gives an empty result. Texts are read whole.
 
-    train_rows: texts the dictionaries are trained on, about - a bounded sample, taken by hash; the
-    frequencies of letters and words, detection and restoration cover every text.
+    train_rows: texts that a dictionary is trained on at once, about; those of all groups are merged, see
+    :func:`trained`. Dictionaries, letters, words, detection and restoration cover every text.
     """
     names = names.select("tab", "rec_id", "text")
     distinct = cut(names.select("text").where("text is not null and text != ''").distinct())
     hard = cut(distinct.where(_hard(F.col("text"))))
     told = judged(hard)
     plain = told.where("clean").select("text").unionByName(distinct.where(~_hard(F.col("text"))))
-    dictionaries, letters = train(sample(plain, train_rows)), rarity(clean_letters(told.where("clean")))
+    dictionaries, letters = trained(plain, train_rows), rarity(clean_letters(told.where("clean")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(dictionaries, letters)

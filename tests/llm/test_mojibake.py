@@ -83,3 +83,18 @@ def test_letters_are_counted_over_all_clean_texts(spark, monkeypatch):
     monkeypatch.setattr(mb, "rarity", lambda seen: used.append(rarity(seen)) or used[-1])
     mb.restored(df, train_rows=5)
     assert mb.alphabet(names) in used  # not of the five texts that the dictionaries are trained on
+
+
+def test_dictionaries_are_trained_on_all_clean_texts(spark):
+    names = [f"sorted apple number {i} from the farm at {'north' if i % 2 else 'south'}" for i in range(400)]
+    df = spark.createDataFrame([(n,) for n in names], "text string")
+    assert mb.trained(df, 1000) == mb.train(sorted(names))  # one group: as if trained at once
+    for rows, groups in ((1000, 1), (50, 8)):
+        got = mb.trained(df, rows)
+        assert sorted(got) == ["all", "en"]
+        assert all(b"from the farm at" in d for d in got.values()), groups
+    # a word of few texts, all in the rest that a sample of 50 leaves out, is learned too
+    rare = [f"quillwort {i} of the marsh" for i in range(60)]
+    every = spark.createDataFrame([(n,) for n in names + rare], "text string")
+    assert b"quillwort" in mb.trained(every, 50)["all"]
+    assert mb.trained(df.limit(0), 50) == {} and mb.trained(df.limit(10), 5) == {}
